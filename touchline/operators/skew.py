@@ -1,0 +1,25 @@
+"""Finding keys that hold an outsized share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# At most 1/SHARE keys can each hold more than SHARE of the rows, so the list
+# of hot keys is bounded by construction.
+SHARE = 1 / 1000
+FLOOR = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, share: float = SHARE, floor: int = FLOOR) -> list:
+    """Keys with more than ``floor`` rows and more than ``share`` of all rows."""
+    counts = df.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > floor)
+    big = counts.crossJoin(F.broadcast(df.agg(F.count("*").alias("total"))))
+    return [r[0] for r in big.where(F.col("n") > F.col("total") * share).select(key).collect()]
+
+
+def split_hot(df: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys (null keys included) and rows of hot keys."""
+    named = [k for k in hot if k is not None]
+    is_hot = F.coalesce(F.col(key).isin(named), F.lit(None in hot))
+    return df.where(~is_hot), df.where(is_hot)
