@@ -1,0 +1 @@
+PARTS: dict[str, str] = {}

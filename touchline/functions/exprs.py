@@ -46,6 +46,15 @@ def rounded_avg(c: Column | str, scale: int = 2) -> Column:
     return F.round(F.avg(col(c)), scale)
 
 
+def fixed_avg(c: Column | str, scale: int = 2) -> Column:
+    """Mean of values that carry ``scale`` decimals.
+
+    The sum is exact, so the result does not depend on how rows are split
+    between tasks or on retried tasks.
+    """
+    return ratio(F.sum(col(c).cast(f"decimal(18,{scale})")), F.count(col(c)))
+
+
 def money_avg(c: Column | str) -> Column:
     """Mean of an exact decimal: exact sum, one double division at the end."""
     return ratio(F.sum(col(c)), F.count(col(c)))

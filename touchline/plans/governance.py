@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import labels as L
-from touchline.functions.exprs import MONEY, money_avg, pct, rounded_avg
+from touchline.functions.exprs import MONEY, fixed_avg, money_avg, pct, rounded_avg
 from touchline.operators.segments import fan_out, unpivot
 from touchline.plans.transfers import HORIZONS, LABEL_HORIZON, SUCCESS_PCT, money_diff
 
@@ -47,11 +47,11 @@ def fct_transfer_cohort_performance(wh) -> DataFrame:
         F.count("*").alias("transfer_count"),
         F.count_if(seen).alias("observed_outcome_count"),
         status("missing_baseline"), status("not_yet_observable"), status("missing_followup"),
-        rounded_avg(change).alias("avg_market_value_change_pct"),
+        F.round(fixed_avg(change), 2).alias("avg_market_value_change_pct"),
         F.percentile_approx(change, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), QUANTILE_ACCURACY).alias("q"),
         F.round(F.stddev_samp(change), 2).alias("stddev_market_value_change_pct"),
         F.count_if(change > 0).alias("n_positive"),
-        rounded_avg("fee_market_value_difference_pct").alias("avg_fee_premium_pct"),
+        F.round(fixed_avg("fee_market_value_difference_pct"), 2).alias("avg_fee_premium_pct"),
     )
     mean, n = F.col("avg_market_value_change_pct"), F.col("observed_outcome_count")
     # The interval uses the published, rounded mean and deviation.
@@ -132,7 +132,7 @@ def fct_club_risk_profile(wh) -> DataFrame:
         F.count("*").alias("total_incoming_transfers"),
         F.count_if(F.col("has_known_transfer_fee")).alias("transfers_with_known_fee"),
         F.count_if(seen).alias("observed_365d_transfers"),
-        rounded_avg("fee_market_value_difference_pct").alias("avg_overpay_pct"),
+        F.round(fixed_avg("fee_market_value_difference_pct"), 2).alias("avg_overpay_pct"),
         F.count_if(success == 1).alias("successful_transfers"),
         F.count_if(success == 0).alias("unsuccessful_transfers"),
         F.round(100 * F.avg(success), 2).alias("transfer_success_rate_pct"),
@@ -182,9 +182,9 @@ def fct_club_transfer_portfolio(wh) -> DataFrame:
         F.sum(on(sells, fee)).alias("outbound_transfer_income"),
         F.round(money_avg(on(buys, fee)), 2).alias("avg_inbound_transfer_fee"),
         F.round(money_avg(on(sells, fee)), 2).alias("avg_outbound_transfer_fee"),
-        rounded_avg(on(buys, "fee_market_value_difference_pct")).alias("avg_inbound_fee_premium_pct"),
-        rounded_avg(on(sells, "fee_market_value_difference_pct")).alias("avg_outbound_fee_premium_pct"),
-        rounded_avg(on(buys, "market_value_change_after_transfer_pct")).alias("avg_inbound_post_transfer_value_change_pct"),
+        F.round(fixed_avg(on(buys, "fee_market_value_difference_pct")), 2).alias("avg_inbound_fee_premium_pct"),
+        F.round(fixed_avg(on(sells, "fee_market_value_difference_pct")), 2).alias("avg_outbound_fee_premium_pct"),
+        F.round(fixed_avg(on(buys, "market_value_change_after_transfer_pct")), 2).alias("avg_inbound_post_transfer_value_change_pct"),
         F.count_if(buys & F.col("has_post_transfer_value_change")).alias("inbound_transfers_with_value_outcome"),
         F.count_if(buys & (F.col("market_value_change_after_transfer") > 0)).alias("n_up"),
     )
