@@ -47,10 +47,15 @@ def order_statistics(df: DataFrame, by: list[str], value: str, wants: dict[str,
         F.count("*").alias("n"), approx.alias("_q"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
     )
 
+    # A group no larger than the sketch is kept whole: at most ``accuracy`` cells.
+    small = F.col("n") <= accuracy
+
     def mark(p: float, low: bool) -> Column:
-        if low:
-            return F.col("_lo") if p <= margin else F.col("_q")[marks.index(max(p - margin, 0.0))]
-        return F.col("_hi") if p >= 1 - margin else F.col("_q")[marks.index(min(p + margin, 1.0))]
+        edge = F.col("_lo" if low else "_hi")
+        target = max(p - margin, 0.0) if low else min(p + margin, 1.0)
+        if target in (0.0, 1.0):
+            return edge
+        return F.when(small, edge).otherwise(F.col("_q")[marks.index(target)])
 
     brackets = bounds.select(
         *[F.col(b).alias("_b_" + b) for b in by], "n",

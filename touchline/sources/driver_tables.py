@@ -17,6 +17,21 @@ from touchline.schemas import RAW, RAW_TABLES
 # games refer to competitions it does not know.
 UNPUBLISHED = ("NATION_7", "NATION_14", "NATION_21")
 
+# Declared columns of the given tables.
+SCANS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_nationkey int",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+              " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+                " l_extendedprice double, l_discount double, l_tax double, l_returnflag string,"
+                " l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
 
 def _name(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), key.cast("string"))
@@ -32,20 +47,23 @@ class DriverTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         self._made: dict[str, DataFrame] = {}
+        self._scans: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in RAW_TABLES:
             raise KeyError(name)
         if name not in self._made:
             df = getattr(self, "_" + name)()
-            wanted = RAW[name]
-            self._made[name] = df.select(
-                *[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted]
-            )
+            self._made[name] = df.selectExpr(*[
+                f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in RAW[name]
+            ])
         return self._made[name]
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        if name not in self._scans:
+            # A declared schema spares the job that would infer it.
+            self._scans[name] = self.spark.read.schema(SCANS[name]).parquet(f"{self.root}/{name}.parquet")
+        return self._scans[name]
 
     def _club_total(self) -> DataFrame:
         return self._read("supplier").agg(F.count("*").alias("n_clubs"))
