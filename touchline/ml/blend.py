@@ -9,6 +9,7 @@ from touchline.ml.contract import (HIGH_QUALITY_MINUTES, MIN_SEGMENT_ROWS, PREVI
                                    WEIGHT_OVERRIDES, WEIGHT_STEPS)
 from touchline.ml.scores import exact_sum
 from touchline.operators.order_stats import Want, order_statistics
+from touchline.operators.small import pinned
 
 STATUS, ML, BASE = "prediction_quality_status", "ml_prediction", "baseline_prediction"
 
@@ -23,7 +24,7 @@ def quality_status() -> Column:
 
 def with_baseline(df: DataFrame, reference: DataFrame) -> DataFrame:
     """Previous value, or the reference population's exact median target."""
-    fill = order_statistics(reference, [], TARGET, {"_fill": Want(0.5)}).drop("n")
+    fill = pinned(order_statistics(reference, [], TARGET, {"_fill": Want(0.5)}).drop("n"), 1)
     return df.crossJoin(F.broadcast(fill)).withColumn(
         BASE, F.coalesce(F.col(PREVIOUS).cast("double"), F.col("_fill"))).drop("_fill")
 
@@ -42,7 +43,7 @@ def _best_weight(target: str = TARGET) -> Column:
 
 
 def best_weight(df: DataFrame) -> DataFrame:
-    return df.agg(_best_weight().alias("weight"))
+    return pinned(df.agg(_best_weight().alias("weight")), 1)
 
 
 def blend_weights(df: DataFrame, min_rows: int = MIN_SEGMENT_ROWS) -> DataFrame:
@@ -54,7 +55,7 @@ def blend_weights(df: DataFrame, min_rows: int = MIN_SEGMENT_ROWS) -> DataFrame:
     weight = F.when(F.col("n") >= min_rows, F.col("own")).otherwise(F.col("default_weight"))
     for status, fixed in WEIGHT_OVERRIDES.items():
         weight = F.when(F.col(STATUS) == status, F.lit(fixed)).otherwise(weight)
-    return rows.select(STATUS, weight.alias("weight"))
+    return pinned(rows.select(STATUS, weight.alias("weight")), len(STATUSES) + 1)
 
 
 def apply_blend(df: DataFrame, weights: DataFrame) -> DataFrame:

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from touchline.ml.blend import ML
 from touchline.ml.contract import CATEGORICAL, NUMERIC, TARGET
 from touchline.operators.order_stats import Want, order_statistics
+from touchline.operators.small import pinned
+
+# Positions are a short code list.
+MAX_POSITIONS = 10_000
 
 
 class PositionMedian:
@@ -23,8 +27,8 @@ class PositionMedian:
         by_position = order_statistics(df.where(F.col("position").isNotNull()), ["position"], TARGET, half)
         overall = order_statistics(df, [], TARGET, half)
         return PositionMedianModel(
-            by_position.select("position", F.col("median").alias("_own")),
-            overall.select(F.col("median").alias("_all")))
+            pinned(by_position.select("position", F.col("median").alias("_own")), MAX_POSITIONS),
+            pinned(overall.select(F.col("median").alias("_all")), 1))
 
 
 @dataclass

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.labels import value_band
+from touchline.functions.labels import VALUE_CUTS, value_band
 from touchline.ml.contract import INTERVAL_QUANTILE
 from touchline.operators.order_stats import Want, order_statistics
+from touchline.operators.small import pinned
 
 
 def calibrate(df: DataFrame, actual: str, predicted: str, q: float = INTERVAL_QUANTILE) -> DataFrame:
@@ -20,7 +21,8 @@ def calibrate(df: DataFrame, actual: str, predicted: str, q: float = INTERVAL_QU
     errors = df.select(value_band(predicted).alias("band"), F.abs(F.col(actual) - F.col(predicted)).alias("gap"))
     want = {"width": Want(q, "higher")}
     overall = order_statistics(errors, [], "gap", want).select(F.lit(None).cast("string").alias("band"), "width")
-    return overall.unionByName(order_statistics(errors, ["band"], "gap", want).select("band", "width"))
+    both = overall.unionByName(order_statistics(errors, ["band"], "gap", want).select("band", "width"))
+    return pinned(both, len(VALUE_CUTS) + 2)
 
 
 def attach_widths(df: DataFrame, widths: DataFrame, predicted: str) -> DataFrame:
@@ -46,4 +48,4 @@ def finite_sample_radius(df: DataFrame, actual: str, predicted: str, alpha: floa
     if not 0 < alpha < 1:
         raise ValueError("alpha must lie strictly between 0 and 1")
     gaps = df.select(F.abs(F.col(actual) - F.col(predicted)).alias("gap"))
-    return order_statistics(gaps, [], "gap", {"radius": Want(1 - alpha, "conformal")})
+    return pinned(order_statistics(gaps, [], "gap", {"radius": Want(1 - alpha, "conformal")}), 1)

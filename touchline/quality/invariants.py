@@ -475,9 +475,9 @@ def ml_coverage(wh) -> DataFrame:
     one = train.crossJoin(F.broadcast(score)).crossJoin(F.broadcast(latest))
     rows = F.array(
         F.struct(F.lit("training_has_rows").alias("validation_name"), (F.col("train_rows") > 0).alias("passed")),
-        F.struct(F.lit("scoring_has_rows"), F.col("score_rows") > 0),
-        F.struct(F.lit("scoring_uses_latest_observed_season"),
-                 F.coalesce((F.col("lo") == F.col("hi")) & (F.col("hi") == F.col("latest")), F.lit(False))),
+        F.struct(F.lit("scoring_has_rows").alias("validation_name"), (F.col("score_rows") > 0).alias("passed")),
+        F.struct(F.lit("scoring_uses_latest_observed_season").alias("validation_name"),
+                 F.coalesce((F.col("lo") == F.col("hi")) & (F.col("hi") == F.col("latest")), F.lit(False)).alias("passed")),
     )
     return one.select(F.explode(rows).alias("r")).select("r.*")
 

@@ -59,22 +59,37 @@ def _on(build: Callable[[Warehouse], DataFrame], as_of: date = AS_OF) -> Query:
 _RUNS: WeakKeyDictionary = WeakKeyDictionary()
 
 
+def _kept(wh: Warehouse, name: str, build: Callable[[], object]):
+    """Build once per warehouse; frames used by many jobs are persisted."""
+    made = _RUNS.setdefault(wh, {})
+    if name not in made:
+        value = build()
+        made[name] = value.persist() if isinstance(value, DataFrame) else value
+    return made[name]
+
+
+def features_of(wh: Warehouse, kind: str) -> DataFrame:
+    """Feature table shared by the model queries of a session."""
+    return _kept(wh, kind, lambda: wh[f"ml_player_market_value_{kind}"])
+
+
 def median_run(wh: Warehouse) -> train.Run:
     """Evaluated run of the position-median forecaster on this warehouse."""
-    made = _RUNS.setdefault(wh, {})
-    if "run" not in made:
-        made["run"] = train.evaluate_model(wh["ml_player_market_value_training"], PositionMedian(), RUN_NAME, RUN_AT)
-    return made["run"]
+    return _kept(wh, "run", lambda: train.evaluate_model(
+        features_of(wh, "training"), PositionMedian(), RUN_NAME, RUN_AT))
 
 
 def hold_out(wh: Warehouse) -> DataFrame:
-    return median_run(wh).hold_out().drop("model_generated_at_utc")
+    return _kept(wh, "hold_out", lambda: median_run(wh).hold_out().drop("model_generated_at_utc"))
 
 
 def current_predictions(wh: Warehouse) -> DataFrame:
-    run = median_run(wh)
-    refitted = PositionMedian().fit(run.frame)
-    return run.score_current(wh["ml_player_market_value_scoring"], refitted).drop("model_generated_at_utc")
+    def build() -> DataFrame:
+        run = median_run(wh)
+        refitted = PositionMedian().fit(run.frame)
+        return run.score_current(features_of(wh, "scoring"), refitted).drop("model_generated_at_utc")
+
+    return _kept(wh, "current", build)
 
 
 def model_metrics(wh: Warehouse) -> DataFrame:
@@ -89,10 +104,10 @@ def model_metrics(wh: Warehouse) -> DataFrame:
 
 
 def feature_drift(wh: Warehouse) -> DataFrame:
-    frame = wh["ml_player_market_value_training"]
-    newest = frame.agg(F.max("season").alias("season"))
-    reference = frame.join(F.broadcast(newest), "season", "left_semi")
-    return drift.feature_drift(reference, wh["ml_player_market_value_scoring"], RUN_NAME)
+    frame = features_of(wh, "training")
+    newest = splits.seasons_of(frame)[-1]
+    reference = frame.where(F.col("season") == newest)
+    return drift.feature_drift(reference, features_of(wh, "scoring"), RUN_NAME)
 
 
 def release_gates(wh: Warehouse) -> DataFrame:
@@ -114,18 +129,15 @@ def conformal_radius(wh: Warehouse) -> DataFrame:
 
 
 def rolling_folds(wh: Warehouse) -> DataFrame:
-    folds = splits.rolling_origin(wh["ml_player_market_value_training"].select("season", "player_id"), 4)
+    folds = splits.rolling_origin(features_of(wh, "training").select("season", "player_id"), 4)
     return folds.groupBy("fold", "role", "season").agg(
         F.count("*").alias("row_count"), F.count_distinct("player_id").alias("players"))
 
 
 def _boosted(wh: Warehouse) -> train.Run:
     """A short boosted-tree run; the number of rounds is a parameter."""
-    made = _RUNS.setdefault(wh, {})
-    if "boosted" not in made:
-        made["boosted"] = train.evaluate_model(
-            wh["ml_player_market_value_training"], BoostedTrees(rounds=10), "boosted_run", RUN_AT)
-    return made["boosted"]
+    return _kept(wh, "boosted", lambda: train.evaluate_model(
+        features_of(wh, "training"), BoostedTrees(rounds=10), "boosted_run", RUN_AT))
 
 
 def boosted_hold_out(wh: Warehouse) -> DataFrame:
@@ -208,7 +220,7 @@ def _assess(spark: SparkSession, root: str) -> DataFrame:
 def _scan_query(wh: Warehouse) -> DataFrame:
     """Feature-table scan: projection, filter and order."""
     return raw.scan(
-        wh["ml_player_market_value_training"],
+        features_of(wh, "training"),
         ["training_row_key", "season", *[c for c in NUMERIC if c != "season"], TARGET],
         where=(F.col("season") >= 1998) & F.col("has_previous_market_value"),
         order=["season", "training_row_key"])
@@ -286,10 +298,10 @@ def queries() -> dict[str, Query]:
         "source_issues": _on(lambda wh: profile.source_issues(profile.source_profile(wh.raw, MIDWAY))),
         "profile_history": _on(profile_history),
         "refresh_audit": _audit_query,
-        "model_training_violations": _on(lambda wh: validate.input_violations(wh["ml_player_market_value_training"], "training")),
-        "model_scoring_violations": _on(lambda wh: validate.input_violations(wh["ml_player_market_value_scoring"], "scoring")),
+        "model_training_violations": _on(lambda wh: validate.input_violations(features_of(wh, "training"), "training")),
+        "model_scoring_violations": _on(lambda wh: validate.input_violations(features_of(wh, "scoring"), "scoring")),
         "model_research_violations": _on(lambda wh: validate.research_violations(
-            wh["ml_player_market_value_training"], NUMERIC, CATEGORICAL)),
+            features_of(wh, "training"), NUMERIC, CATEGORICAL)),
         "model_prediction_violations": _on(lambda wh: validate.prediction_violations(
             hold_out(wh), "training_row_key", "predicted_market_value_eur")),
         "model_evaluation_violations": _on(lambda wh: validate.evaluation_violations(hold_out(wh))),
@@ -311,7 +323,7 @@ def queries() -> dict[str, Query]:
         "model_release_status": _on(lambda wh: gates.release_status(release_gates(wh))),
         "model_registry_row": _on(registry_row),
         "model_bootstrap": _on(lambda wh: bootstrap.mae_skill_bootstrap(hold_out(wh))),
-        "model_walk_forward": _on(lambda wh: walk_forward.walk_forward(wh["ml_player_market_value_training"], PositionMedian())),
+        "model_walk_forward": _on(lambda wh: walk_forward.walk_forward(features_of(wh, "training"), PositionMedian())),
         "model_boosted_hold_out": _on(boosted_hold_out),
         "model_boosted_importance": _on(boosted_importance),
     })
