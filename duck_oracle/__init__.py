@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import re
 
-from duck_oracle import facts, model_eval, raw, reports, summaries
+from duck_oracle import facts, queries, raw, reports, summaries
+from duck_oracle.common import AS_OF
 
 PARTS: dict[str, str] = {
-    **raw.PARTS, **summaries.PARTS, **facts.PARTS, **reports.PARTS, **model_eval.PARTS,
+    **raw.PARTS, **summaries.PARTS, **facts.PARTS, **reports.PARTS,
 }
 
 _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
@@ -48,7 +49,19 @@ def table(name: str) -> str:
     return compose(f"select * from {name}")
 
 
+def at(day: str, sql: str) -> str:
+    """The same statement for another reporting date."""
+    return sql.replace(AS_OF, day)
+
+
 def statements() -> dict[str, str]:
     from touchline.plans.warehouse import MODELS
 
-    return {name: table(name) for name in MODELS if name in PARTS}
+    out = {name: table(name) for name in MODELS if name in PARTS}
+    for name in ("fct_transfer_fixed_horizon_outcomes", "fct_transfer_cohort_performance"):
+        out[name + "_midway"] = at(queries.MIDWAY, out[name])
+    out.update({name: compose(sql) for name, sql in queries.SQL.items() if not sql.lstrip().startswith("with")})
+    for name, sql in queries.SQL.items():
+        if sql.lstrip().startswith("with"):
+            out[name] = compose(f"select * from ({sql.strip()})")
+    return out
