@@ -112,22 +112,22 @@ def nearest_within(left: DataFrame, right: DataFrame, key: str, left_day: str, r
     All offsets share one pass; the result has one row per key and ``left_day``.
     """
     horizons = F.array(*[
-        F.struct(F.lit(name).alias("name"), F.date_add(left_day, days).alias("target"))
+        F.struct(F.lit(name).alias("_name"), F.date_add(left_day, days).alias("_target"))
         for name, days in offsets.items()
     ])
     asks = (
         left.where(F.col(left_day).isNotNull()).select(key, left_day).distinct()
-        .select(key, left_day, F.explode(horizons).alias("h"))
-        .select(key, left_day, "h.*")
+        .select(key, left_day, F.explode(horizons).alias("_h"))
+        .select(key, left_day, "_h.*")
     )
-    line = merge(asks, day_states(right, key, right_day, ranked), key, "target")
+    line = merge(asks, day_states(right, key, right_day, ranked), key, "_target")
     found = line.probes(_before=line.last_event(), _after=line.next_event()).select(
-        key, left_day, "name",
-        nearest(F.col("_before"), F.col("_after"), F.col("target"), tolerance).alias("found"),
+        key, left_day, "_name",
+        nearest(F.col("_before"), F.col("_after"), F.col("_target"), tolerance).alias("_found"),
     )
     # The window already placed each key in one partition: no further shuffle.
     return found.groupBy(key, left_day).agg(*[
-        F.max(F.when(F.col("name") == name, F.col("found"))).alias(name) for name in offsets
+        F.max(F.when(F.col("_name") == name, F.col("_found"))).alias(name) for name in offsets
     ])
 
 
@@ -147,16 +147,16 @@ def window_sums(left: DataFrame, right: DataFrame, key: str, left_day: str, righ
     )
     asks = (
         left.where(F.col(left_day).isNotNull()).select(key, left_day).distinct()
-        .select(key, left_day, F.explode(F.array(*map(F.lit, edges))).alias("edge"))
-        .withColumn("at", F.date_add(left_day, F.col("edge")))
+        .select(key, left_day, F.explode(F.array(*map(F.lit, edges))).alias("_edge"))
+        .withColumn("_at", F.date_add(left_day, F.col("_edge")))
     )
-    line = merge(asks, grid, key, "at")
+    line = merge(asks, grid, key, "_at")
     totals = line.probes(**{
         "t_" + m: F.coalesce(line.so_far(F.sum(m)), F.lit(0)) for m in measures
     })
 
     def at_edge(m: str, e: int) -> Column:
-        return F.max(F.when(F.col("edge") == e, F.col("t_" + m)))
+        return F.max(F.when(F.col("_edge") == e, F.col("t_" + m)))
 
     return totals.groupBy(key, left_day).agg(*[
         (at_edge(m, b) - at_edge(m, a - 1)).alias(f"{span}_{m}")
