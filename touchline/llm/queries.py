@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash_dedup
+from . import chain_dedup, decontaminate, language, minhash_dedup, packing, pii, quality, substring_exact
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +18,51 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def remainder(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op4_language_bitmasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    filters = language.train(docs.where(remainder(5) != 0))
+    out = language.predict(docs.drop("lang"), filters)
+    return out.select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op5_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_exact.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op6_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    field = quality.train(docs, labels.where(remainder(3) != 1))
+    return quality.score(docs, field).select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op7_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op8_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
+def op10_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain_dedup.fuzzy_passages(table(spark, sf_dir, "documents")).drop("passage")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op4_language_bitmasks": op4_language_bitmasks,
+    "op5_suffix_buckets": op5_suffix_buckets,
+    "op6_line_field": op6_line_field,
+    "op7_harmonic_packing": op7_harmonic_packing,
+    "op8_containment": op8_containment,
+    "op9_personal_data": op9_personal_data,
+    "op10_collinear_chains": op10_collinear_chains,
 }
 ORACLE_SQL: dict[str, str] = {}
