@@ -6,21 +6,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import minhash_dedup
+from touchline.llm import decontaminate, minhash_dedup, packing, pii, quality
+from touchline.llm.queries import remainder, table
 from touchline.llm.staging import Staging
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line field finds good stay; it learns from labels outside the held-out third."""
+    field = quality.train(docs, table(spark, sf_dir, "labels").where(remainder(3) != 1))
+    return quality.keep_good(docs, field)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest id."""
     return minhash_dedup.keep_one(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Confirmed personal data is replaced by its kind."""
+    return pii.redact(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the token sequences, with their places."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality_classifier),
     ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("personal_data", personal_data),
+    ("packing", packed),
 ]
-#: The fitted quality model cannot be expressed in SQL.
+#: The fitted quality model and the tokenizer cannot be expressed in SQL.
 ORACLE_SQL: str | None = None
 
 

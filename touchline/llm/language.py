@@ -147,7 +147,7 @@ def frequent(counted: DataFrame) -> pd.DataFrame:
 
 
 def predict(docs: DataFrame, filters: Filters) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; the filters' size does not depend on the corpus."""
+    """``docs`` with ``lang_pred`` and ``score`` (replaced where there); the filters' size does not depend on the corpus."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
@@ -155,4 +155,5 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
         return shared.value.decide(texts)
 
     udf = F.pandas_udf(decide, "lang_pred string, score double")
-    return docs.withColumn("_said", udf("text")).select(*docs.columns, "_said.*")
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    return docs.select(*kept, udf("text").alias("_said")).select(*kept, "_said.*")

@@ -192,16 +192,26 @@ def train(docs: DataFrame, labels: DataFrame) -> Field:
 
 
 def score(docs: DataFrame, field: Field) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted``."""
+    """``docs`` with ``score`` and ``predicted``; columns of these names are replaced."""
     ship(docs.sparkSession)
 
     def scored(texts: pd.Series) -> pd.Series:
         return pd.Series(field.scores(T.encode(texts)))
 
-    return docs.withColumn("score", F.pandas_udf(scored, "double")("text")).withColumn(
+    return docs.drop("score", "predicted").withColumn("score", F.pandas_udf(scored, "double")("text")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def keep_good(docs: DataFrame, field: Field) -> DataFrame:
+    """The documents with a score of 0.5 or more, with their own columns only."""
+    ship(docs.sparkSession)
+
+    def good(texts: pd.Series) -> pd.Series:
+        return pd.Series(field.scores(T.encode(texts)) >= 0.5)
+
+    return docs.where(F.pandas_udf(good, "boolean")("text"))
+
+
 def label_lines(docs: DataFrame, field: Field) -> DataFrame:
     """Every line with content: its number from 0, its probability of good and its label."""
     ship(docs.sparkSession)

@@ -7,19 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chain_dedup, decontaminate, language, minhash_dedup, packing, pii, quality, substring_exact
+from . import (
+    chain_dedup, decontaminate, language, minhash_dedup, packing, permutation_index, pii, quality, quotations, substring_exact,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.link(table(spark, sf_dir, "conversations"))
+
+
 def remainder(n: int):
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+    """crc32(doc_id as text) mod n; a row without doc_id is not held out."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n)), F.lit(n))
 
 
 def op4_language_bitmasks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +67,9 @@ def op10_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_permutation_index": op1_permutation_index,
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_quotation_linking": op3_quotation_linking,
     "op4_language_bitmasks": op4_language_bitmasks,
     "op5_suffix_buckets": op5_suffix_buckets,
     "op6_line_field": op6_line_field,
@@ -65,4 +78,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_collinear_chains": op10_collinear_chains,
 }
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = """list_filter(regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"""
+
+
+def _shingles(source: str, key: str) -> str:
+    """Distinct five-word shingles (the whole of a shorter text) of a table's rows, with the size of each set."""
+    return f"""
+    select *, count(*) over (partition by {key}) as n from (
+        select distinct {key}, unnest(case
+            when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+            when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+        from (select {key}, {_WORDS.format("text")} as w from {source} where text is not null))"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_minhash_dedup": f"""
+with recursive sets as ({_shingles("documents", "doc_id")}),
+links as (
+    select a.doc_id as u, b.doc_id as v from sets a join sets b on a.s = b.s and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach as (select doc_id as node, doc_id as seen from documents union select r.node, l.v from reach r join links l on r.seen = l.u),
+roots as (select node as doc_id, min(seen) as component_id from reach group by node),
+sizes as (select doc_id, count(*) as n_shingles from sets group by doc_id)
+select r.doc_id, coalesce(z.n_shingles, 0) as n_shingles, r.component_id, r.doc_id = r.component_id as kept
+from roots r left join sizes z using (doc_id)""",
+    "op8_containment": f"""
+with docs as ({_shingles("documents", "doc_id")}), items as ({_shingles("benchmark", "item_id")})
+select d.doc_id, i.item_id, i.n as n_item, count(*) as n_found, round(count(*) / i.n, 6) as containment
+from items i join docs d using (s) group by d.doc_id, i.item_id, i.n having 100 * count(*) >= 75 * i.n""",
+}
