@@ -152,7 +152,8 @@ SQL = {
             when transfer_fee is null then 'Ücretsiz/Bilinmiyor' else 'Veri Yok' end as fee_range_category_tr, {_KEYS} as transfers
         from {_T} group by 1""",
     "report_competition_labels": """
-        select competition_id, substr(replace(competition_name, '-', ' '), 1, 18) || ' (' || competition_id || ')' as competition_short_label,
+        select competition_id, case competition_id when 'IT1' then 'Serie A (IT)' when 'ES1' then 'La Liga (ES)' when 'GB1' then 'Premier L. (ENG)'
+                else substr(replace(competition_name, '-', ' '), 1, 18) || ' (' || competition_id || ')' end as competition_short_label,
             matches_played from int_competition_summary""",
     "check_grains": _tally({
         "stg_appearances": _dup("stg_appearances", "player_id, game_id"),

@@ -41,6 +41,27 @@ def _club_name(key: Column) -> Column:
     return F.concat(F.lit("Supplier#"), F.lpad(key.cast("string"), 9, "0"))
 
 
+# Part types as positions; promotional parts have one that no label table knows.
+POSITIONS = {"STANDARD": "Attack", "SMALL": "Defender", "MEDIUM": "Midfield", "LARGE": "Goalkeeper", "ECONOMY": "Missing"}
+# Nations whose competition carries a code of the short-name table.
+CODES = {1: "IT1", 2: "ES1", 3: "GB1"}
+
+
+def _coded(key: Column, codes: dict) -> Column:
+    text = key.cast("string")
+    for known, code in codes.items():
+        text = F.when(key == known, code).otherwise(text)
+    return text
+
+
+def _position(kind: Column) -> Column:
+    return _coded(kind, POSITIONS)
+
+
+def _competition(key: Column) -> Column:
+    return _coded(key, CODES)
+
+
 class DriverTables:
     """Lazily built raw tables over one scale-factor folder."""
 
@@ -87,7 +108,7 @@ class DriverTables:
                 F.when(size % 10 != 0, _name("Country ", size % 25)).alias("country_of_citizenship"),
                 F.date_add(F.lit("1960-01-01").cast("date"), size * 400).alias("date_of_birth"),
                 F.col("p_brand").alias("sub_position"),
-                F.col("p_type").alias("position"),
+                _position(F.col("p_type")).alias("position"),
                 F.when(size % 3 == 0, "left").when(size % 3 == 1, "right").alias("foot"),
                 F.when(size % 9 == 0, 0).otherwise(150 + size).alias("height_in_cm"),
                 F.date_add(F.lit("2001-06-30").cast("date"), size * 10).alias("contract_expiration_date"),
@@ -95,7 +116,7 @@ class DriverTables:
                 size.alias("international_caps"),
                 (size % 10).alias("international_goals"),
                 (size % 25).alias("current_national_team_id"),
-                (size % 25).cast("string").alias("current_club_domestic_competition_id"),
+                _competition(size % 25).alias("current_club_domestic_competition_id"),
                 F.when(size % 4 != 0, _club_name(key % F.col("n_clubs"))).alias("current_club_name"),
                 F.when(size % 8 != 0, F.floor(F.col("p_retailprice") * 1000)).alias("market_value_in_eur"),
                 F.floor(F.col("p_retailprice") * 1500).alias("highest_market_value_in_eur"),
@@ -108,7 +129,7 @@ class DriverTables:
             key.alias("club_id"),
             F.lower("s_name").alias("club_code"),
             F.concat(F.lit(" "), F.col("s_name")).alias("name"),
-            F.col("s_nationkey").cast("string").alias("domestic_competition_id"),
+            _competition(F.col("s_nationkey")).alias("domestic_competition_id"),
             (F.floor(F.col("s_acctbal")) * 1000).alias("total_market_value"),
             (20 + key % 15).alias("squad_size"),
             (20 + key % 12).alias("average_age"),
@@ -130,7 +151,7 @@ class DriverTables:
     def _competitions(self) -> DataFrame:
         key = F.col("n_nationkey")
         return self._nations().where(~F.col("n_name").isin(*UNPUBLISHED)).select(
-            key.cast("string").alias("competition_id"),
+            _competition(key).alias("competition_id"),
             F.lower("n_name").alias("competition_code"),
             F.concat(F.lit(" "), F.col("n_name"), F.lit(" ")).alias("name"),
             F.lit("first_tier").alias("sub_type"),
@@ -190,7 +211,7 @@ class DriverTables:
         year = F.year("o_orderdate")
         return based.select(
             key.alias("game_id"),
-            F.col("c_nationkey").cast("string").alias("competition_id"),
+            _competition(F.col("c_nationkey")).alias("competition_id"),
             year.alias("season"),
             F.concat(F.lit(" "), F.col("o_orderpriority")).alias("round"),
             F.to_date("o_orderdate").alias("date"),
@@ -200,8 +221,8 @@ class DriverTables:
             (F.floor(key / 5) % 4).alias("away_club_goals"),
             F.when(key % 6 != 0, key % 20 + 1).alias("home_club_position"),
             F.when(key % 7 != 0, key % 18 + 1).alias("away_club_position"),
-            F.when(key % 11 != 0, _name("Manager ", F.col("home") % 20 + year % 3)).alias("home_club_manager_name"),
-            F.when(key % 12 != 0, _name("Manager ", F.col("away") % 20 + year % 3)).alias("away_club_manager_name"),
+            F.when(key % 11 != 0, _name("Manager ", F.col("home") % 2 + year % 3)).alias("home_club_manager_name"),
+            F.when(key % 12 != 0, _name("Manager ", F.col("away") % 2 + year % 3)).alias("away_club_manager_name"),
             F.concat(F.lit(" Ground "), F.col("home").cast("string")).alias("stadium"),
             F.when(F.col("o_orderstatus") != "P", F.floor("o_totalprice")).alias("attendance"),
             _name("Referee ", key % 40).alias("referee"),
@@ -313,14 +334,17 @@ class DriverTables:
             F.floor(F.col("l_extendedprice") * 300).alias("market_value_in_eur"),
             F.when(F.col("l_linenumber") != 3, _club_name(club)).alias("current_club_name"),
             F.when(F.col("l_discount") > 0.005, club).alias("current_club_id"),
-            F.when(F.col("l_tax") > 0.005, (club % 25).cast("string")).alias("player_club_domestic_competition_id"),
+            F.when(F.col("l_tax") > 0.005, _competition((F.col("l_partkey") + club % 2) % 25))
+            .alias("player_club_domestic_competition_id"),
         )
 
     def _transfers(self) -> DataFrame:
         player, line = F.col("l_partkey"), F.col("l_linenumber")
         source = F.col("l_suppkey")
         target = (source + line) % F.col("n_clubs")
-        price = F.col("l_extendedprice")
+        price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
+        # Most fees lie near the value of 300; the largest quantities carry a high premium.
+        rate = F.when(quantity >= 48, 420.0).otherwise(220 + quantity * 3)
         return (
             self._read("lineitem").where("l_returnflag = 'R'")
             .crossJoin(F.broadcast(self._club_total()))
@@ -334,7 +358,7 @@ class DriverTables:
                 F.when(line != 4, _club_name(target)).otherwise("").alias("to_club_name"),
                 F.when(
                     F.col("l_discount") > 0.005,
-                    F.when(line == 7, F.lit(0)).otherwise(F.floor(price * (200 + F.col("l_quantity") * 4))),
+                    F.when(line == 7, F.lit(0)).otherwise(F.floor(price * rate)),
                 ).cast(MONEY).alias("transfer_fee"),
                 F.when(
                     F.col("l_tax") > 0.015,
