@@ -3,15 +3,16 @@
 Two documents are linked when their sets of distinct five-word shingles have a Jaccard
 similarity of 0.75 or more.  The steps:
 
-1. Each document gets its set size, a 128-bit digest of its set, 128 universal hash minima cut
-   into 32 bands of four, and one byte of each minimum as a signature.  A pair at the threshold
-   meets in no band with a probability of 5e-6.
+1. Each document gets its set size, a 128-bit digest of its set and 512 universal hash minima:
+   one byte of each is the signature, the first 128 make 32 bands of four.  A pair at the
+   threshold meets in no band with a probability of 5e-6.
 2. Documents with equal sets collapse to the one with the smallest id; only these go on.
 3. Every member of a band bucket is compared with the bucket's smallest member, by signature
    first, then on the full sets.  Large-star and small-star join what is confirmed.
 4. Buckets that still hold several components are compared across components, in cells of
-   bounded size, by signature and then on the full sets.  So no link between different sets is
-   lost and no pair inside a component is formed twice.
+   bounded size, by signature and then on the full sets; a pair that shares several buckets is
+   looked at in the first one only.  So no link between different sets is lost and no pair
+   inside a component is formed.
 
 Null, empty and blank texts have an empty set and are linked with nothing.  Rows without a
 doc_id are left out.  Rows that repeat a doc_id count as one document, the one with the
@@ -32,9 +33,9 @@ from .components import components
 from .staging import Staging
 
 BANDS, ROWS, SHINGLE = 32, 4, 5
-HASHES = BANDS * ROWS
+HASHES = 512
 #: Least share of equal signature bytes: the threshold less four standard deviations of the estimate.
-SURE = 0.59
+SURE = 0.673
 CELL = 256
 
 _rng = np.random.default_rng(75)
@@ -46,8 +47,8 @@ FEATURES = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, s
 def minima(shingles: np.ndarray) -> np.ndarray:
     """Least value of each universal hash a*x+b over a set."""
     low = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(shingles), 2048):
-        np.minimum(low, (FACTOR[:, None] * shingles[None, i : i + 2048] + SHIFT[:, None]).min(axis=1), out=low)
+    for i in range(0, len(shingles), 256):
+        np.minimum(low, (FACTOR[:, None] * shingles[None, i : i + 256] + SHIFT[:, None]).min(axis=1), out=low)
     return low
 
 
@@ -62,7 +63,7 @@ def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     rows.append((doc, 0, 0, 0, None, None))
                     continue
                 low = minima(s)
-                bands = T.mix((low.reshape(BANDS, ROWS) * T.WORD_FACTORS[:ROWS]).sum(axis=1) + salt)
+                bands = T.mix((low[: BANDS * ROWS].reshape(BANDS, ROWS) * T.WORD_FACTORS[:ROWS]).sum(axis=1) + salt)
                 digest = np.array([s.sum(), T.mix(s + np.uint64(1)).sum()]).view(np.int64)
                 rows.append((doc, len(s), digest[0], digest[1], bands.view(np.int64),
                              (T.mix(low) & np.uint64(255)).astype(np.uint8).tobytes()))
@@ -93,14 +94,14 @@ def cell_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def pairs(cell: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         sig = np.frombuffer(b"".join(cell["signature"]), np.uint8).reshape(-1, HASHES)
+        bands = np.stack(cell["bands"].to_list())
         doc, comp, n, block = (cell[c].to_numpy() for c in ("doc_id", "comp", "n_shingles", "block"))
-        other = block != block[0] if cell["i"].iloc[0] != cell["j"].iloc[0] else np.ones(len(cell), bool)
+        bucket, i, j = cell[key].iloc[0]
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        for x in range(len(cell)):
-            if cell["i"].iloc[0] != cell["j"].iloc[0] and other[x]:
-                continue
-            may = other & (comp != comp[x]) & (4 * np.minimum(n, n[x]) >= 3 * np.maximum(n, n[x])) & (doc > doc[x] if cell["i"].iloc[0] == cell["j"].iloc[0] else True)
-            y = np.flatnonzero(may)
+        for x in np.flatnonzero(block == i):
+            may = (comp != comp[x]) & (4 * np.minimum(n, n[x]) >= 3 * np.maximum(n, n[x]))
+            y = np.flatnonzero(may & (doc > doc[x] if i == j else block == j))
+            y = y[bands[y, (bands[y] == bands[x]).argmax(axis=1)] == bucket]
             y = y[alike(sig[y], sig[x]) >= SURE]
             found.append((np.minimum(doc[x], doc[y]), np.maximum(doc[x], doc[y])))
         return tuple(np.concatenate(p) for p in zip(*found, strict=True)) if found else (np.zeros(0, int),) * 2
@@ -131,7 +132,7 @@ def cell_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def confirm(docs: DataFrame, pairs: DataFrame, staging: Staging, name: str) -> DataFrame:
     """Those pairs (a, b) of documents whose full sets reach the threshold."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = staging.put(f"{name}sets", docs.join(needed, "doc_id", "left_semi").mapInPandas(
+    sets = staging.put(f"{name}sets", docs.join(needed.hint("merge"), "doc_id", "left_semi").mapInPandas(
         shingle_sets, "doc_id long, shingles array<long>").dropDuplicates(["doc_id"]))
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
@@ -181,7 +182,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
              .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("bucket", "doc_id", "comp", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j")))
-    cells = cells.join(placed.select("doc_id", "n_shingles", "signature"), "doc_id")
+    cells = cells.join(placed.select("doc_id", "n_shingles", "signature", "bands"), "doc_id")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     across = (cells.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
               .mapInPandas(cell_pairs, "a long, b long").distinct())
