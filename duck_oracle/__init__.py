@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from duck_oracle import facts, queries, raw, reports, summaries
+from duck_oracle import facts, proofs, queries, raw, reports, summaries
 from duck_oracle.common import AS_OF
 
 PARTS: dict[str, str] = {
@@ -60,8 +60,11 @@ def statements() -> dict[str, str]:
     out = {name: table(name) for name in MODELS if name in PARTS}
     for name in ("fct_transfer_fixed_horizon_outcomes", "fct_transfer_cohort_performance"):
         out[name + "_midway"] = at(queries.MIDWAY, out[name])
-    out.update({name: compose(sql) for name, sql in queries.SQL.items() if not sql.lstrip().startswith("with")})
-    for name, sql in queries.SQL.items():
+    both = queries.SQL | proofs.SQL
+    out.update({name: compose(sql) for name, sql in both.items() if not sql.lstrip().startswith("with")})
+    for name, sql in both.items():
         if sql.lstrip().startswith("with"):
             out[name] = compose(f"select * from ({sql.strip()})")
+    out["refresh_audit"] = proofs.audits(compose, at)
+    out["check_volumes"] = proofs.volumes(out["refresh_audit"])
     return out

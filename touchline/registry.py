@@ -22,6 +22,8 @@ from touchline.streaming import history
 AS_OF = date(2001, 12, 31)
 # An earlier reporting date, at which late transfers are not yet observable.
 MIDWAY = date(2000, 6, 30)
+# The reporting date of the earlier audit row.
+EARLY = date(1997, 6, 30)
 RUN_AT = datetime(2002, 1, 1)
 RUN_NAME = "position_median_run"
 
@@ -196,7 +198,7 @@ def profile_history(wh: Warehouse) -> DataFrame:
 def refresh_audit(spark: SparkSession, root: str) -> DataFrame:
     """Audit rows of an earlier and of the final reporting date."""
     rows = [audit.audit_row(warehouse(spark, root, day), f"run-{day}", datetime(day.year, day.month, day.day))
-            for day in (MIDWAY, AS_OF)]
+            for day in (EARLY, AS_OF)]
     return rows[0].unionByName(rows[1])
 
 
@@ -205,7 +207,7 @@ def _audit_query(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _volume_query(spark: SparkSession, root: str) -> DataFrame:
-    return plain(invariants.volume_changes(refresh_audit(spark, root), 0.1))
+    return plain(invariants.volume_changes(refresh_audit(spark, root)))
 
 
 def _audit_label(spark: SparkSession, root: str) -> DataFrame:
