@@ -29,7 +29,7 @@ from .staging import Staging
 CAPACITY, END = 2048, 1
 SLACK = 1 / 128
 SHARE = 20_000
-CACHED_WORDS = 250_000
+CACHED_WORDS = 800_000
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -39,42 +39,92 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+_code = np.arange(256)
+ALNUM = ((_code >= 48) & (_code <= 57)) | ((_code >= 65) & (_code <= 90)) | ((_code >= 97) & (_code <= 122))
+#: ASCII punctuation that always stands apart from letters and digits; an apostrophe may not.
+MARK = (_code > 32) & (_code < 127) & ~ALNUM & (_code != ord("'"))
+SENTINEL = "\x01"
+ADDED = b"<|"
+
+
 class WordEncoder:
-    """Token ids of white-space separated words; the tokenizer never joins across white space."""
+    """Token ids of texts by way of their distinct words.
+
+    The tokenizer never joins across white space, nor across the border of an ASCII letter or
+    digit and a punctuation mark.  So texts are cut there, equal parts (A-Z lower-cased, as the
+    tokenizer does) are found by hash, and only parts not seen before go through the tokenizer,
+    many at a time with a sentinel between them.  Texts that may hold the name of an added token
+    or the sentinel are encoded as they are.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.between = self.plain(SENTINEL)
         self.forget()
 
+    def plain(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
     def forget(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        self.begin = np.zeros(0, np.int64)
-
-    def learn(self, words: list[bytes]) -> None:
-        made = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
-        for w in words:
-            self.index[w] = len(self.index)
-        self.sizes = np.concatenate([self.sizes, [len(m) for m in made]]).astype(np.int64)
-        self.ids = np.concatenate([self.ids, *[np.array(m, np.uint32) for m in made]])
-        self.begin = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
+        self.index: dict[int, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def learn(self, names: list[int], parts: list[bytes]) -> None:
+        text = f" {SENTINEL} ".join([p.decode() for p in parts])
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        cut = np.flatnonzero(ids == self.between[0])
+        begin, end = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(ids)]])
+        first = len(self.index)
+        while len(self.ids) < self.used + len(ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while len(self.begin) < first + len(parts):
+            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.begin[first : first + len(parts)] = begin + self.used
+        self.size[first : first + len(parts)] = end - begin
+        self.used += len(ids)
+        self.index.update(zip(names, range(first, first + len(parts)), strict=True))
 
     def encode(self, raw: list[bytes]) -> list[np.ndarray]:
         """Ids of each text."""
+        odd = [i for i, b in enumerate(raw) if ADDED in b or SENTINEL.encode() in b]
+        if odd:
+            raw = list(raw)
+            apart = {i: self.plain(raw[i].decode()) for i in odd}
+            for i in odd:
+                raw[i] = b""
+            out = self.encode_parts(raw)
+            for i, ids in apart.items():
+                out[i] = ids
+            return out
+        return self.encode_parts(raw)
+
+    def encode_parts(self, raw: list[bytes]) -> list[np.ndarray]:
         if len(self.index) > CACHED_WORDS:
             self.forget()
-        split = [b.split() for b in raw]
-        new = {w for words in split for w in words}.difference(self.index)
+        joined = b" ".join([*raw, b""])
+        data = np.frombuffer(joined, np.uint8)
+        size = np.array([len(b) + 1 for b in raw])
+        inside = ~T.SPACE[data]
+        alnum, mark = ALNUM[data], MARK[data]
+        turn = np.concatenate([[True], (alnum[1:] & mark[:-1]) | (mark[1:] & alnum[:-1])]) if len(data) else inside
+        opens = inside & (turn | ~np.concatenate([[False], inside[:-1]]))
+        start = np.flatnonzero(opens)
+        end = np.flatnonzero(inside & ~np.concatenate([inside[1:] & ~opens[1:], [False]])) + 1
+        name, first, at = np.unique(T.Prefix(T.LOWER[data]).spans(start, end), return_index=True, return_inverse=True)
+        names = name.tolist()
+        new = [k for k, x in enumerate(names) if x not in self.index]
         if new:
-            self.learn(sorted(new))
-        counts = np.array([len(w) for w in split])
-        at = np.fromiter((self.index[w] for words in split for w in words), np.int64, counts.sum())
-        size = self.sizes[at]
-        flat = np.repeat(self.begin[at] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(at) else at
-        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(counts)[:-1]] if len(counts) else []
-        return np.split(self.ids[flat], ends)
+            self.learn([names[k] for k in new], [joined[start[first[k]] : end[first[k]]] for k in new])
+        here = np.fromiter(map(self.index.__getitem__, names), np.int64, len(names))
+        begin, n = self.begin[here][at], self.size[here][at]
+        run = np.cumsum(n)
+        flat = np.repeat(begin - (run - n), n) + np.arange(int(run[-1]) if len(run) else 0)
+        text_end = np.searchsorted(start, np.cumsum(size)[:-1])
+        return np.split(self.ids[flat], np.concatenate([[0], run])[text_end])
 
 
 _encoders: dict[str, WordEncoder] = {}
