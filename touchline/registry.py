@@ -9,6 +9,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline import session
 from touchline.ml import blend, bootstrap, drift, gates, importance, intervals, scores, splits, train, validate, walk_forward
 from touchline.ml.contract import CATEGORICAL, NUMERIC, TARGET
 from touchline.ml.forecast import BoostedTrees, PositionMedian
@@ -62,11 +63,11 @@ _RUNS: WeakKeyDictionary = WeakKeyDictionary()
 
 
 def _kept(wh: Warehouse, name: str, build: Callable[[], object]):
-    """Build once per warehouse; frames used by many jobs are persisted."""
+    """Build once per warehouse; a frame is stored in the shared folder, so later plans start there."""
     made = _RUNS.setdefault(wh, {})
     if name not in made:
         value = build()
-        made[name] = value.persist() if isinstance(value, DataFrame) else value
+        made[name] = session.stored(value, name) if isinstance(value, DataFrame) else value
     return made[name]
 
 
@@ -96,6 +97,10 @@ def current_predictions(wh: Warehouse) -> DataFrame:
 
 def model_metrics(wh: Warehouse) -> DataFrame:
     """The seven error metrics of blend, model and baseline on the hold-out."""
+    return _kept(wh, "metrics", lambda: _model_metrics(wh))
+
+
+def _model_metrics(wh: Warehouse) -> DataFrame:
     scored = median_run(wh).hold_out_scores()
     parts = {"ensemble_model": "blended", "ml_only_model": blend.ML, "previous_value_baseline": blend.BASE}
     out = None
@@ -105,7 +110,24 @@ def model_metrics(wh: Warehouse) -> DataFrame:
     return out
 
 
+def evaluation_metrics(wh: Warehouse) -> DataFrame:
+    return _kept(wh, "evaluation", lambda: scores.evaluation_metrics(hold_out(wh)))
+
+
+def run_importance(wh: Warehouse) -> DataFrame:
+    """Importance of the features to the evaluated forecaster."""
+    def build() -> DataFrame:
+        run = median_run(wh)
+        return importance.permutation_importance(run.model, run.times.test_rows(run.frame), RUN_NAME)
+
+    return _kept(wh, "importance", build)
+
+
 def feature_drift(wh: Warehouse) -> DataFrame:
+    return _kept(wh, "drift", lambda: _feature_drift(wh))
+
+
+def _feature_drift(wh: Warehouse) -> DataFrame:
     frame = features_of(wh, "training")
     newest = splits.seasons_of(frame)[-1]
     reference = frame.where(F.col("season") == newest)
@@ -113,13 +135,17 @@ def feature_drift(wh: Warehouse) -> DataFrame:
 
 
 def release_gates(wh: Warehouse) -> DataFrame:
+    return _kept(wh, "gates", lambda: _release_gates(wh))
+
+
+def _release_gates(wh: Warehouse) -> DataFrame:
     measured = model_metrics(wh)
     ensemble = measured.where("model = 'ensemble_model'")
     baseline = measured.where("model = 'previous_value_baseline'")
     # The persistence baseline stands in for the champion of an earlier release.
     champion = baseline.select(F.col("mae_eur").alias("test_mae_eur"), F.lit("previous_value").alias("model_version"))
     return gates.quality_gates(
-        ensemble, baseline, scores.evaluation_metrics(hold_out(wh)), RUN_NAME, RUN_AT, champion,
+        ensemble, baseline, evaluation_metrics(wh), RUN_NAME, RUN_AT, champion,
         current_predictions(wh), feature_drift(wh)).drop("model_generated_at_utc", "details")
 
 
@@ -160,10 +186,9 @@ def registry_row(wh: Warehouse) -> DataFrame:
 def published_outputs(wh: Warehouse) -> DataFrame:
     stamp = F.lit(RUN_AT).cast("timestamp").alias("model_generated_at_utc")
     status = gates.release_status(release_gates(wh)).select("release_status", F.lit(RUN_NAME).alias("model_version"), stamp)
-    ranked = feature_drift(wh).select("model_version", "feature")
     return rules.published_outputs(
-        status, release_gates(wh), current_predictions(wh), hold_out(wh), scores.evaluation_metrics(hold_out(wh)),
-        feature_drift(wh), ranked)
+        status, release_gates(wh), current_predictions(wh), hold_out(wh), evaluation_metrics(wh),
+        feature_drift(wh), run_importance(wh))
 
 
 def provenance(wh: Warehouse) -> DataFrame:
@@ -315,7 +340,7 @@ def queries() -> dict[str, Query]:
         "model_hold_out": _on(hold_out),
         "model_current_predictions": _on(current_predictions),
         "model_metrics": _on(model_metrics),
-        "model_evaluation_metrics": _on(lambda wh: scores.evaluation_metrics(hold_out(wh))),
+        "model_evaluation_metrics": _on(evaluation_metrics),
         "model_segment_summary": _on(lambda wh: scores.segment_summary(hold_out(wh))),
         "model_evaluation_summary": _on(lambda wh: scores.evaluation_summary(hold_out(wh))),
         "model_interval_coverage": _on(lambda wh: scores.interval_coverage(hold_out(wh), "prediction_quality_status")

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import atexit
+import shutil
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Everything here is a public Spark SQL setting.  Values that depend on the
 # cluster (memory, shuffle partitions, checkpoint folder) are left to the
@@ -31,21 +36,29 @@ def build_session(app: str = "touchline", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """Folder shared by the cluster, as the session names it."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+_own_folders: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder the cluster shares, as ``spark.checkpoint.dir`` names it.
+
+    Only where the session names none (one machine, tests) a folder of this process is made.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", "") or ""
+    if named:
+        return named.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="touchline-")
+        atexit.register(shutil.rmtree, _own_folders[app], True)
+    return _own_folders[app]
 
 
-def cut_lineage(df):
-    """Checkpoint into the shared folder when the session names one.
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: later plans start at the files.
 
-    Fitted-model loops build long plans.  Without a shared folder the plan is
-    left as it is: a machine-local copy would be lost with its executor.
+    A file outlives the executor that wrote it, which a cached copy does not.
     """
-    spark = df.sparkSession
-    folder = checkpoint_dir(spark)
-    if not folder:
-        return df
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
