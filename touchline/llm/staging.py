@@ -55,6 +55,13 @@ class Staging:
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def put_bucketed(self, name: str, df: DataFrame, key: str, buckets: int) -> DataFrame:
+        """The same, as a table dealt out by a key, so that joins on it don't shuffle it again."""
+        table = f"touchline_{name}_{uuid.uuid4().hex}"
+        (df.write.mode("overwrite").option("path", f"{self.root}/{name}").option("compression", "zstd")
+         .format("parquet").bucketBy(buckets, key).saveAsTable(table))
+        return self.spark.table(table)
+
     def drop(self, *names: str) -> None:
         """Delete tables that no later step reads."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()

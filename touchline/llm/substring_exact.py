@@ -35,13 +35,15 @@ from . import text as T
 from .staging import Staging
 
 WIDTH, GRAM = 50, 25
-CHUNK = 1_500_000
+CHUNK = 750_000
 LOW48 = np.uint64((1 << 48) - 1)
 EVEN = np.uint64((1 << 64) - 2)
 #: Counts from here on are unknown in a packed post.
 MANY = (1 << 15) - 1
-POST = "part int, h1 long, h2 int, doc_id long, hi long, cnt int, need int"
-COLUMNS = ["part", "h1", "h2", "doc_id", "hi", "cnt", "need"]
+#: A post: identifier, document, how far the greatest document of a joined post is from it, number
+#: of posts (0: answered already), and the number of posts of the initial bucket, where asked for.
+POST = "h1 long, h2 int, doc_id long, span long, cnt int, need int"
+COLUMNS = ["h1", "h2", "doc_id", "span", "cnt", "need"]
 
 
 class Runs:
@@ -139,14 +141,13 @@ def collapse(rows: list[tuple[np.ndarray, ...]], spread: bool) -> pd.DataFrame:
     size = np.diff(np.concatenate([start, [len(h1)]]))
     other = ~new & np.concatenate([[False], doc[1:] != doc[:-1]])
     k = np.flatnonzero(other)
-    deal = T.mix(h1[start] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-    away = T.mix(h1[k] + T.mix(doc[k].astype(np.uint64))) >> np.uint64(40)
     zero = np.zeros(len(k), np.int64)
-    return pd.DataFrame({
-        "part": np.concatenate([deal, away]).astype(np.int32), "h1": np.concatenate([h1[start], h1[k]]).view(np.int64),
-        "h2": np.concatenate([h2[start], h2[k]]), "doc_id": np.concatenate([doc[start], doc[k]]),
-        "hi": np.concatenate([doc[start + size - 1], doc[k]]) if spread else np.zeros(len(start) + len(k), np.int64),
+    span = doc[start + size - 1] - doc[start] if spread else np.zeros(len(start), np.int64)
+    out = pd.DataFrame({
+        "h1": np.concatenate([h1[start], h1[k]]).view(np.int64), "h2": np.concatenate([h2[start], h2[k]]),
+        "doc_id": np.concatenate([doc[start], doc[k]]), "span": np.concatenate([span, zero]),
         "cnt": np.concatenate([size, zero]).astype(np.int32), "need": np.concatenate([need[start], zero]).astype(np.int32)})
+    return out.sort_values("doc_id", kind="stable")  # equal neighbours shrink in the shuffle files
 
 
 def posting(rows_of, spread: bool = False):
@@ -214,7 +215,7 @@ def answers(kind: str):
         least = np.minimum.reduceat(np.where(known, far.max, doc), start)[of]
         total = np.add.reduceat(cnt, start)[of]
         if kind == "buckets":
-            most = np.maximum.reduceat(np.where(known, far.min, g["hi"].to_numpy()), start)[of]
+            most = np.maximum.reduceat(np.where(known, far.min, doc + g["span"].to_numpy()), start)[of]
             keep = known | (least < most)
             n = np.where(known | (total >= MANY), 0, total)
             value = (h1 << 15) | n
@@ -244,7 +245,8 @@ def answers(kind: str):
 
 def exchange(rows: DataFrame, kind: str, n: int) -> DataFrame:
     """What each document is told about the identifiers it posted, as one array."""
-    told = (rows.repartition(n, "part").sortWithinPartitions("h1", "h2")
+    deal = F.when(F.col("cnt") == 0, F.xxhash64("h1", "doc_id")).otherwise(F.col("h1"))
+    told = (rows.repartition(n, deal).sortWithinPartitions("h1", "h2")
             .mapInPandas(answers(kind), "doc_id long, value long"))
     return told.groupBy("doc_id").agg(F.collect_list("value").alias(kind))
 
@@ -288,18 +290,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     posts = exchange(long_enough.mapInPandas(posting(initial_posts, True), POST), "buckets", n)
     posts = staging.put("posts", posts.withColumnRenamed("buckets", "posts"))
     staging.release()
-    marked = docs.join(posts, "doc_id", "left")
-    marked = staging.put("marked", marked)
+    marked = docs.join(posts.hint("shuffle_hash"), "doc_id", "left")
+    marked = staging.put_bucketed("marked", marked, "doc_id", n)
+    staging.drop("posts")
     staging.release()
     some = marked.where("posts is not null")
     runs = exchange(some.mapInPandas(posting(run_posts), POST), "runs", n)
     runs = staging.put("runs", runs)
     staging.release()
-    cut = some.join(runs, "doc_id", "left")
+    cut = some.join(runs.hint("shuffle_hash"), "doc_id", "left")
     strings = exchange(cut.mapInPandas(posting(string_posts), POST), "strings", n)
     strings = staging.put("strings", strings)
     staging.release()
-    done = cut.join(strings, "doc_id", "left").mapInPandas(
+    done = cut.join(strings.hint("shuffle_hash"), "doc_id", "left").mapInPandas(
         removal, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     text = F.coalesce("text", F.lit(""))
     rest = marked.where("posts is null").select(
