@@ -131,7 +131,8 @@ def cell_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def confirm(docs: DataFrame, pairs: DataFrame, staging: Staging, name: str) -> DataFrame:
     """Those pairs (a, b) of documents whose full sets reach the threshold."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sides = [pairs.select(F.col(c).alias("doc_id")).distinct() for c in ("a", "b")]
+    needed = sides[0].union(sides[1]).distinct()
     sets = staging.put(f"{name}sets", docs.join(needed.hint("merge"), "doc_id", "left_semi").mapInPandas(
         shingle_sets, "doc_id long, shingles array<long>").dropDuplicates(["doc_id"]))
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
