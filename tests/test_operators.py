@@ -5,6 +5,7 @@ from datetime import date, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from touchline.operators import timeline
@@ -12,7 +13,6 @@ from touchline.operators.compare import keyed_mismatches, symmetric_difference
 from touchline.operators.order_stats import Want, order_statistics
 from touchline.operators.rolling import trailing_rows
 from touchline.operators.segments import unpivot
-from touchline.operators.skew import hot_keys
 
 D0 = date(2000, 1, 1)
 
@@ -80,19 +80,15 @@ def test_window_sums(facts):
             assert (r[name + "_n"], r[name + "_v"]) == (len(inside), sum(inside))
 
 
-def test_trailing_rows_hot_path_equals_plain(spark, facts):
+@pytest.mark.parametrize("block_rows", [7, 100_000])
+def test_trailing_rows_in_blocks_equal_one_window(spark, facts, block_rows):
     rows = facts[3].withColumn("id", F.monotonically_increasing_id())
     measures = lambda w: {"s": F.sum("v").over(w), "c": F.count("*").over(w)}
-    plain = trailing_rows(rows, "k", "d", ["id"], 5, measures, hot=[])
-    split = trailing_rows(rows, "k", "d", ["id"], 5, measures, hot=[1], block_rows=7)
+    plain = rows.withColumns(measures(W.partitionBy("k").orderBy("d", "id").rowsBetween(-4, 0)))
+    split = trailing_rows(rows, "k", "d", ["id"], 5, measures, block_rows=block_rows)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.select(*plain.columns).collect()))
 
 
-def test_hot_keys(facts):
-    assert hot_keys(facts[3].select("k"), "k", share=0.5, floor=10) == [1]
-    assert hot_keys(facts[3].select("k"), "k") == []
-
-
 @pytest.mark.parametrize("accuracy", [10_000, 50])
 def test_order_statistics(spark, accuracy):
     rng = np.random.default_rng(3)

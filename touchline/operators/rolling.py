@@ -8,46 +8,29 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from touchline.operators import skew
-
 BLOCK_ROWS = 100_000
 
 
 def trailing_rows(df: DataFrame, key: str, day: str, tiebreak: list[str], size: int,
                   measures: Callable[[WindowSpec], dict[str, Column]], *,
-                  hot: list | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                  block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add aggregates over the last ``size`` rows of each key.
 
-    Ordinary keys use one window.  Hot keys are numbered through a per-day
-    count grid, cut into blocks of ``block_rows`` rows, and each block gets the
-    ``size - 1`` rows before it as context, so no task sees a whole hot key.
+    Rows are numbered through a per-day count grid and cut into blocks of ``block_rows`` rows of
+    a key; each block gets the ``size - 1`` rows before it as context.  Every key takes this one
+    way, so no task sees more of a key than a block or a day, and nothing is counted beforehand.
     """
-    if hot is None:
-        hot = skew.hot_keys(df.select(key), key)
     back = size - 1
-
-    def plain(rows: DataFrame) -> DataFrame:
-        w = W.partitionBy(key).orderBy(day, *tiebreak).rowsBetween(-back, 0)
-        return rows.withColumns(measures(w))
-
-    if not hot:
-        return plain(df)
-    cold, heavy = skew.split_hot(df, key, hot)
-    return plain(cold).unionByName(_blocked(heavy, key, day, tiebreak, back, measures, block_rows))
-
-
-def _blocked(rows: DataFrame, key: str, day: str, tiebreak: list[str], back: int,
-             measures, block_rows: int) -> DataFrame:
     by_day = W.partitionBy(key).orderBy(day)
     grid = (
-        rows.groupBy(key, day).agg(F.count("*").alias("_n"))
+        df.groupBy(key, day).agg(F.count("*").alias("_n"))
         .select(
             F.col(key).alias("_k"), F.col(day).alias("_d"),
             F.coalesce(F.sum("_n").over(by_day.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         )
     )
     numbered = (
-        rows.join(grid, F.col(key).eqNullSafe(F.col("_k")) & F.col(day).eqNullSafe(F.col("_d")))
+        df.join(grid, F.col(key).eqNullSafe(F.col("_k")) & F.col(day).eqNullSafe(F.col("_d")))
         .withColumn("_seq", F.col("_before") + F.row_number().over(W.partitionBy("_k", "_d").orderBy(*tiebreak)) - 1)
         .withColumn("_home", F.floor(F.col("_seq") / block_rows))
     )

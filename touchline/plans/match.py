@@ -94,16 +94,12 @@ def fct_player_match_performance(wh) -> DataFrame:
     )
 
 
-def fct_player_rolling_form(wh, hot: list | None = None) -> DataFrame:
+def fct_player_rolling_form(wh) -> DataFrame:
     base = wh["fct_player_match_performance"].select(
         "appearance_id", "game_id", "player_id", "player_name", "position", "sub_position",
         "player_club_id", "player_club_name", "competition_id", "season", "appearance_date",
         "hosting", "opponent_club_id", "opponent_club_name", "club_result", "club_points",
         "minutes_played", "goals", "assists", "is_starter", "is_captain", "yellow_cards", "red_cards")
-    if hot is None:
-        # Counted on the narrow source: the joins above add no appearance rows.
-        from touchline.operators.skew import hot_keys
-        hot = hot_keys(wh["stg_appearances"].select("player_id"), "player_id")
 
     def measures(w):
         def total(c: str) -> Column:
@@ -125,7 +121,7 @@ def fct_player_rolling_form(wh, hot: list | None = None) -> DataFrame:
         }
 
     return trailing_rows(
-        base, "player_id", "appearance_date", ["game_id", "appearance_id"], 5, measures, hot=hot,
+        base, "player_id", "appearance_date", ["game_id", "appearance_id"], 5, measures,
     ).drop("yellow_cards", "red_cards")
 
 
@@ -181,8 +177,10 @@ def fct_club_season_performance(wh) -> DataFrame:
             rounded_avg("attendance").alias("avg_attendance"),
             F.count_if(at_home).alias("home_matches"),
             F.count_if(F.col("hosting") == "away").alias("away_matches"),
-            F.count_distinct("own_manager_name").alias("managers_used"),
-            F.count_distinct(formation).alias("formations_used"),
+            # A club has few managers and formations in a season; as sets they need no second
+            # distinct count, for which Spark would multiply the rows.
+            F.size(F.collect_set("own_manager_name")).alias("managers_used"),
+            F.size(F.collect_set(formation)).alias("formations_used"),
             # A numerically high table position is a bad one; the names are kept.
             F.max("own_position").alias("highest_recorded_position"),
             F.min("own_position").alias("lowest_recorded_position"),

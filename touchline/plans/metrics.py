@@ -214,21 +214,12 @@ def fee_year_over_year(wh) -> DataFrame:
 def matured_outcomes(wh, by: list[str], today: date | None = None) -> DataFrame:
     """Eligible and observed 365-day transfers under one maturity cut-off.
 
-    The cut-off is the newest valuation within the group, at most today.
+    The cut-off is the newest valuation of the source, at most today; every row carries it.
     """
     rows = wh["fct_transfer_fixed_horizon_outcomes"].select(
         *by, "transfer_key", "has_365d_outcome", "target_365d_date", "source_latest_valuation_date")
-    limit = rows.groupBy(*by).agg(
-        least_known(F.lit(today or wh.as_of), F.max("source_latest_valuation_date")).alias("cutoff"))
-    if by:
-        limit = limit.select(*[F.col(b).alias("_" + b) for b in by], "cutoff")
-        same = F.lit(True)
-        for b in by:
-            same = same & F.col(b).eqNullSafe(F.col("_" + b))
-        rows = rows.join(limit, same)
-    else:
-        rows = rows.crossJoin(F.broadcast(limit))
-    mature = F.date_add("target_365d_date", TOLERANCE_DAYS) <= F.col("cutoff")
+    cutoff = least_known(F.lit(today or wh.as_of), F.col("source_latest_valuation_date"))
+    mature = F.date_add("target_365d_date", TOLERANCE_DAYS) <= cutoff
     out = rows.groupBy(*by).agg(
         _keys("transfer_key", mature).alias("eligible_transfers_365d"),
         _keys("transfer_key", mature & F.col("has_365d_outcome")).alias("observed_transfers_365d"),
