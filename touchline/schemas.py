@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql.types import StructType
 
 _COLUMNS = {
@@ -52,12 +54,13 @@ _COLUMNS = {
 }
 
 
+_COLUMN = re.compile(r"(\w+) (\w+(?:\(\d+,\d+\))?)")
+
 
 def _schema(columns: str) -> StructType:
     out = StructType()
-    for column in columns.replace("(38,9)", "(38;9)").split(","):
-        name, kind = column.split()
-        out = out.add(name, kind.replace(";", ","))
+    for name, kind in _COLUMN.findall(columns):
+        out = out.add(name, kind)
     return out
 
 
