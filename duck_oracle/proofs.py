@@ -205,6 +205,28 @@ HISTORY = f"""
           from ({_STATES}) window w as (partition by player_id order by n))
     where starts"""
 
+_DAYS = ("1996-12-31", "1999-12-31", "2001-12-31")
+
+
+def _type2(key: str, checked: list[str], state: str) -> str:
+    """Type-2 versions: a row a change between the states of consecutive days."""
+    states = " union all ".join(f"select {n} as n, DATE '{day}' as day, * from ({state.replace('{day}', day)})" for n, day in enumerate(_DAYS))
+    moved = " or ".join(f"lag({c}) over w is distinct from {c}" for c in checked)
+    return f"""
+        select {key}, {', '.join(checked)}, day as valid_from, lead(day) over (partition by {key} order by n) as valid_to
+        from (select *, lag(n) over w is null or {moved} as starts from ({states}) window w as (partition by {key} order by n)) where starts"""
+
+
+_PLAYER = """select p.player_id, player_name, v.current_club_id, position, sub_position, agent_name, v.market_value_in_eur, contract_expiration_date
+    from (select * exclude (current_club_id, market_value_in_eur) from stg_players) p left join
+        (select player_id, current_club_id, market_value_in_eur from stg_player_valuations where valuation_date <= DATE '{day}'
+         qualify row_number() over (partition by player_id order by valuation_date desc nulls last, market_value_in_eur desc nulls last,
+             current_club_id desc nulls last, current_club_name desc nulls last) = 1) v using (player_id)"""
+_CLUB_STATE = """select c.club_id, club_name, domestic_competition_id, squad_size, average_age, g.coach_name, net_transfer_record
+    from (select * exclude (coach_name) from stg_clubs) c left join
+        (select club_id, own_manager_name as coach_name from stg_club_games join (select game_id, game_date from stg_games) using (game_id)
+         where game_date <= DATE '{day}' qualify row_number() over (partition by club_id order by game_date desc, game_id desc) = 1) g using (club_id)"""
+
 _NUMERIC = ["season", "height_in_cm", "age_at_target_date", "matches_before_target", "competitions_played_before_target",
             "minutes_before_target", "goals_before_target", "assists_before_target", "yellow_cards_before_target",
             "red_cards_before_target", "goals_per_90_before_target", "assists_per_90_before_target", "previous_market_value_eur",
@@ -266,6 +288,10 @@ SQL = {
             or coalesce(cumulative_known_transfer_fee, 0) <> running or is_latest_transfer <> (r = n)"""}),
     "check_calendar": _tally({"calendar": "select case when max(date_day) - min(date_day) + 1 = count(distinct date_day) and count(*) = count(distinct date_day) then 0 else 1 end from dim_date"}),
     "profile_history": HISTORY,
+    "player_profile_history": _type2("player_id", ["player_name", "current_club_id", "position", "sub_position", "agent_name",
+                                                   "market_value_in_eur", "contract_expiration_date"], _PLAYER),
+    "club_profile_history": _type2("club_id", ["club_name", "domestic_competition_id", "squad_size", "average_age", "coach_name",
+                                               "net_transfer_record"], _CLUB_STATE),
     "check_history": _tally({"history": f"""
         select count(*) from (select player_id from ({HISTORY}) group by 1
             having count(*) filter (valid_to is null) <> 1 or count(*) filter (valid_to <= valid_from) > 0)"""}),

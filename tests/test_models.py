@@ -123,7 +123,7 @@ def test_keyed_append_is_idempotent(spark, tmp_path):
     append_new_keys(row, path, "audit_key")
     append_new_keys(row, path, "audit_key")
     append_new_keys(spark.createDataFrame([("run-2", 6, 1)], "audit_key string, n long, extra long"), path, "audit_key")
-    assert sorted((r.audit_key, r.n, r.extra) for r in sinks.read_table(spark, path).collect()) == [("run-1", 5, None), ("run-2", 6, 1)]
+    assert sorted((r.audit_key, r.n, r.extra) for r in sinks.read_table(spark, path, appended=True).collect()) == [("run-1", 5, None), ("run-2", 6, 1)]
 
 
 def test_yearly_sink_prunes(spark, tmp_path):

@@ -28,12 +28,3 @@ def unpivot(df: DataFrame, keep: list[str], label: str, rows: dict[object, dict[
         for tag, cols in rows.items()
     ])
     return df.select(*keep, F.explode(packed).alias("_u")).select(*keep, "_u.*")
-
-
-def count_where(cond: Column) -> Column:
-    return F.count_if(cond)
-
-
-def mean_where(cond: Column, value: Column | str) -> Column:
-    value = F.col(value) if isinstance(value, str) else value
-    return F.avg(F.when(cond, value))

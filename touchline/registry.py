@@ -211,15 +211,39 @@ def valued_profile(wh: Warehouse, until: date) -> DataFrame:
                 F.col("v.market_value_in_eur").alias("market_value_in_eur")))
 
 
-def profile_history(wh: Warehouse) -> DataFrame:
-    """Type-2 history over three yearly states."""
-    days = [date(1996, 12, 31), date(1999, 12, 31), date(2001, 12, 31)]
-    out = history.first_history(valued_profile(wh, days[0]), VALUED_PROFILE, datetime(1996, 12, 31))
-    for day in days[1:]:
-        out = history.next_history(out, valued_profile(wh, day), VALUED_PROFILE, datetime(day.year, day.month, day.day))
+STATE_DAYS = (date(1996, 12, 31), date(1999, 12, 31), date(2001, 12, 31))
+
+
+def _history(states: Callable[[date], DataFrame], spec: history.HistorySpec) -> DataFrame:
+    """Type-2 history over the states of three days."""
+    at = [datetime(day.year, day.month, day.day) for day in STATE_DAYS]
+    out = history.first_history(states(STATE_DAYS[0]), spec, at[0])
+    for day, when in zip(STATE_DAYS[1:], at[1:], strict=True):
+        out = history.next_history(out, states(day), spec, when)
     return out.withColumns({c: F.to_date(c) for c in (history.FROM, history.TO)})
 
 
+def profile_history(wh: Warehouse) -> DataFrame:
+    return _history(lambda day: valued_profile(wh, day), VALUED_PROFILE)
+
+
+def player_profile(wh: Warehouse, until: date) -> DataFrame:
+    """Player profiles with the club and value known on a day."""
+    known = valued_profile(wh, until).select(
+        "player_id", F.col("club_id").alias("current_club_id"), "market_value_in_eur")
+    fixed = wh["stg_players"].drop("current_club_id", "market_value_in_eur")
+    return fixed.join(known, "player_id", "left").select("player_id", *history.PLAYER_PROFILES.checked)
+
+
+def club_profile(wh: Warehouse, until: date) -> DataFrame:
+    """Club profiles with the manager of the newest game up to a day as coach."""
+    games = wh["stg_games"].where(F.col("game_date") <= F.lit(until)).select("game_id", "game_date")
+    coach = wh["stg_club_games"].join(games, "game_id").groupBy("club_id").agg(
+        F.max(F.struct("game_date", "game_id", "own_manager_name")).alias("g")).select(
+        "club_id", F.col("g.own_manager_name").alias("coach_name"))
+    return wh["stg_clubs"].drop("coach_name").join(coach, "club_id", "left").select("club_id", *history.CLUB_PROFILES.checked)
+
+
 def refresh_audit(spark: SparkSession, root: str) -> DataFrame:
     """Audit rows of an earlier and of the final reporting date."""
     rows = [audit.audit_row(warehouse(spark, root, day), f"run-{day}", datetime(day.year, day.month, day.day))
@@ -324,6 +348,8 @@ def queries() -> dict[str, Query]:
         "source_profile": _on(lambda wh: profile.source_profile(wh.raw, MIDWAY)),
         "source_issues": _on(lambda wh: profile.source_issues(profile.source_profile(wh.raw, MIDWAY))),
         "profile_history": _on(profile_history),
+        "player_profile_history": _on(lambda wh: _history(lambda day: player_profile(wh, day), history.PLAYER_PROFILES)),
+        "club_profile_history": _on(lambda wh: _history(lambda day: club_profile(wh, day), history.CLUB_PROFILES)),
         "refresh_audit": _audit_query,
         "model_training_violations": _on(lambda wh: validate.input_violations(features_of(wh, "training"), "training")),
         "model_scoring_violations": _on(lambda wh: validate.input_violations(features_of(wh, "scoring"), "scoring")),

@@ -34,8 +34,9 @@ def write_by_year(df: DataFrame, path: str, day: str, order: list[str], files_pe
     spread.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(YEAR).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+def read_table(spark: SparkSession, path: str, appended: bool = False) -> DataFrame:
+    """A stored table; only one that was appended to needs the schemas of all its files."""
+    df = spark.read.option("mergeSchema", str(appended).lower()).parquet(path)
     return df.drop(YEAR)
 
 

@@ -10,7 +10,7 @@ from touchline.sources import sinks
 
 def existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return sinks.read_table(spark, path)
+        return sinks.read_table(spark, path, appended=True)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
