@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -70,8 +72,8 @@ class Staging:
             path.getFileSystem(conf).delete(path, True)
 
     def release(self) -> None:
-        """Let the driver notice that finished shuffles are unused, so that their files go."""
-        import gc
-
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Let the driver notice that finished shuffles are unused, and wait a moment for their files to go."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)
