@@ -194,6 +194,7 @@ def fuzzy_passages(docs: DataFrame) -> DataFrame:
     found = docs.mapInPandas(seeds, "seed long, doc_id long, pos int")
     first = (found.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("m"))
              .where("f.doc_id < m").select("seed", F.col("f.doc_id").alias("src"), F.col("f.pos").alias("src_pos")))
+    first = staging.put("first", first)  # the join can then split a hot seed
     matches = found.join(first, "seed").where("doc_id > src").select("doc_id", "src", "pos", "src_pos")
     made = (matches.repartition(n, "doc_id", "src").sortWithinPartitions("doc_id", "src", "pos", "src_pos")
             .mapInPandas(chained, "doc_id long, src long, xs array<int>, ys array<int>"))

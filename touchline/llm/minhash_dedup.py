@@ -152,7 +152,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     all_docs = staging.put("sketches", docs.mapInPandas(sketch, FEATURES))
     size = all_docs.groupBy("doc_id").agg(F.max(F.struct("n_shingles", "d1", "d2")).alias("s")).select("doc_id", "s.*")
     digest = ["n_shingles", "d1", "d2"]
-    least = size.where("n_shingles > 0").groupBy(*digest).agg(F.min("doc_id").alias("rep"))
+    # Minima are written before they are joined: the join can then split a hot key.
+    least = staging.put("least", size.where("n_shingles > 0").groupBy(*digest).agg(F.min("doc_id").alias("rep")))
     members = staging.put("members", size.join(least, digest, "left").select(
         "doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")))
     reps = members.where("rep = doc_id and n_shingles > 0").select("doc_id", "n_shingles")
@@ -160,7 +161,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                        .select("doc_id", "n_shingles", "bands", "signature"))
     staging.drop("sketches")
     posted = reps.select("doc_id", F.explode("bands").alias("bucket"))
-    leaders = posted.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.count("*").alias("m")).where("m > 1")
+    leaders = staging.put("leaders", posted.groupBy("bucket").agg(
+        F.min("doc_id").alias("a"), F.count("*").alias("m")).where("m > 1"))
     met = posted.join(leaders, "bucket").where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
 
     def side(c: str) -> DataFrame:
