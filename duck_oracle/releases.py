@@ -104,9 +104,9 @@ SQL = {
                 max(value) filter (rule = 'min_win_rate') as lo, max(value) filter (rule = 'max_win_rate') as hi,
                 count(*) filter (rule not in ('n', 'unique_clubs', 'min_win_rate', 'max_win_rate') and value <> 0) as broken
             from ({_DOMAINS}) group by 1))""",
-    "check_export": " union all ".join(
-        f"select '{r}' as rule, count(*) filter ({c}) as violations from ({row_level(MIDWAY)})" for r, c in _EXPORT.items()) + f"""
-        union all select 'empty_export', (count(*) = 0)::bigint from ({row_level(MIDWAY)})
-        union all select 'inconsistent_cutoff', (count(distinct effective_cutoff_date) > 1)::bigint from ({row_level(MIDWAY)})
-        union all select 'duplicate_key', count(*) - count(distinct trim(coalesce(transfer_key, ''))) from ({row_level(MIDWAY)})""",
+    "check_export": f"with e as ({row_level(MIDWAY)}) " + " union all ".join(
+        f"select '{r}' as rule, count(*) filter ({c}) as violations from e" for r, c in _EXPORT.items()) + """
+        union all select 'empty_export', (count(*) = 0)::bigint from e
+        union all select 'inconsistent_cutoff', (count(distinct effective_cutoff_date) > 1)::bigint from e
+        union all select 'duplicate_key', count(*) - count(distinct trim(coalesce(transfer_key, ''))) from e""",
 }
