@@ -328,6 +328,19 @@ def test_fuzzy_passages(spark, none):
     assert chain_dedup.fuzzy_passages(none).count() == 0
 
 
+@pytest.mark.parametrize("n", [60, 100])
+def test_fuzzy_passages_with_many_edits(spark, n):
+    rng, rows, want = random.Random(n), [], set()
+    for k, every in enumerate([9, 10, 11, 12] * 5):
+        passage = [word(rng) for _ in range(n)]
+        edited = [w + "zz" if i % every == every - 1 else w for i, w in enumerate(passage)]
+        rows += [(k, prose(rng, 50) + " " + " ".join(passage)), (100 + k, " ".join(edited) + " " + prose(rng, 50))]
+        want.add((100 + k, k))
+    got = chain_dedup.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.src_doc_id) for r in got} == want
+    assert all(r.end_word - r.start_word >= n - 12 for r in got)
+
+
 def test_chain_is_the_best_one():
     rng = random.Random(1)
     for _ in range(30):

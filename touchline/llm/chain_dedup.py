@@ -1,16 +1,17 @@
 """Fuzzy repeated passages by collinear chaining of shared word seeds.
 
-1. *Seeds.*  The least hash of every 16 neighbouring eight-word k-mers, so that 23 equal words in
-   a row always share a seed.
+1. *Seeds.*  The hash of every eight-word k-mer.  Those held by one document only are dropped.
 2. *Join.*  Every seed is joined to its first holder (smallest doc_id, then position).  Each later
    occurrence makes one match, so a seed of a third of all documents makes no pairs among them;
    the join key is left to Spark to split.
 3. *Chains.*  The matches of a document with one earlier document are chained in order of both
-   positions.  A chain scores eight a seed less a cost for the words it skips on both sides; the
-   best predecessor comes from a Fenwick tree of prefix maxima.  A chain is cut where it skips
-   more than ``MAX_GAP`` words.
-4. *Alignment.*  The words between chained seeds are aligned, ends are extended while words are
-   equal, and passages of ``MIN_WORDS`` words or more with an identity of 0.75 or more stay.
+   positions; of matches that follow each other word by word, every eighth and the last are kept.
+   A chain scores eight a seed less a cost for the words it skips on both sides; the best
+   predecessor comes from a Fenwick tree of prefix maxima.  A chain is cut where it skips more
+   than ``MAX_GAP`` words.
+4. *Alignment.*  The words between chained seeds are aligned, ends are extended by up to
+   ``MAX_GAP`` words while equal words outweigh others, and passages of ``MIN_WORDS`` words or
+   more with an identity of 0.75 or more stay.  A chain of less identity is cut at its widest gap.
 
 Words are as elsewhere: runs without ASCII white space, A-Z lower-cased.  Null and short texts
 have no seeds.  Rows without doc_id are left out; rows that repeat a doc_id are texts of one
@@ -20,7 +21,7 @@ has rows; the first holder of a passage has none for it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -31,13 +32,13 @@ from pyspark.sql import functions as F
 from . import text as T
 from .staging import Staging
 
-K, WINDOW = 8, 16
+K = 8
 MIN_WORDS, IDENTITY = 40, 0.75
 GAP_COST, MAX_GAP = 0.05, 100
 #: Words beyond a chain's ends that may still belong to its passage.
-MARGIN = WINDOW + K
-#: A passage of MIN_WORDS equal words has seeds at least so far apart, ends included.
-MIN_EXTENT = MIN_WORDS - 2 * (WINDOW - 1)
+MARGIN = MAX_GAP
+#: An unequal word beyond an end weighs as much as so many equal ones; how far the sum may fall.
+UNEQUAL, DROP = 3, 20
 
 
 def seeds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -46,11 +47,27 @@ def seeds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for a, b in T.batches(raw):
             words = T.Words(raw[a:b])
             at, h = words.grams(K)
-            pick = T.window_minima(h, WINDOW)
-            at, h = at[pick], h[pick]
             text = words.text[at]
-            yield pd.DataFrame({"seed": h.view(np.int64), "doc_id": ids[a:b][text],
-                                "pos": (at - words.first[text]).astype(np.int32)})
+            yield pd.DataFrame({"seed": h.view(np.int64), "doc_id": ids[a:b][text], "pos": (at - words.first[text]).astype(np.int32)})
+
+
+def whole(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows anew, cut only between different keys."""
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        if not len(frame):
+            continue
+        tail = (frame[keys] == frame[keys].iloc[-1]).all(axis=1).to_numpy()
+        cut = 0 if tail.all() else len(frame) - int(tail[::-1].argmin())
+        if held and (held[-1][keys].iloc[-1] != frame[keys].iloc[0]).any():
+            yield pd.concat(held)
+            held = []
+        if cut:
+            yield pd.concat([*held, frame.iloc[:cut]])
+            held = []
+        held.append(frame.iloc[cut:])
+    if held:
+        yield pd.concat(held)
 
 
 class Fenwick:
@@ -106,36 +123,35 @@ def chains(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def thinned(g: pd.DataFrame) -> pd.DataFrame:
+    """Of the matches of a (doc_id, src) that follow each other word by word, every eighth and the last."""
+    doc, src, x, y = (g[c].to_numpy() for c in ("doc_id", "src", "pos", "src_pos"))
+    diagonal = x.astype(np.int64) - y
+    order = np.lexsort((x, diagonal, src, doc))
+    d, s, e, p = doc[order], src[order], diagonal[order], x[order]
+    same = (d[1:] == d[:-1]) & (s[1:] == s[:-1]) & (e[1:] == e[:-1])
+    opens = np.concatenate([[True], ~same | (np.diff(p) > 1)])
+    again = np.concatenate([[False], same & (np.diff(p) == 0)])
+    first = p[np.flatnonzero(opens)][np.cumsum(opens) - 1]
+    last = np.concatenate([opens[1:], [True]])
+    keep = (((p - first) % K == 0) & ~again) | last
+    # the last of a run may come twice
+    keep &= ~(again & last & ((p - first) % K == 0))
+    return g.iloc[np.sort(order[keep])]
+
+
 def chained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Chains of each (doc_id, src) whose matches lie in consecutive rows, sorted by place."""
-
-    def make(g: pd.DataFrame) -> list[tuple]:
+    for g in whole(frames, ["doc_id", "src"]):
+        g = thinned(g)
         rows = []
         x, y = g["pos"].to_numpy(), g["src_pos"].to_numpy()
         doc, src = g["doc_id"].to_numpy(), g["src"].to_numpy()
         start = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (src[1:] != src[:-1])]))
         for a, b in zip(start, [*start[1:], len(g)], strict=True):
-            if max(x[b - 1] - x[a], y[a:b].max() - y[a:b].min()) + K < MIN_EXTENT:
-                continue
             for c in chains(x[a:b], y[a:b]):
-                u, v = x[a:b][c], y[a:b][c]
-                if max(u[-1] - u[0], v[-1] - v[0]) + K >= MIN_EXTENT:
-                    rows.append((doc[a], src[a], u, v))
-        return rows
-
-    held: list[pd.DataFrame] = []
-    for frame in frames:
-        if not len(frame):
-            continue
-        tail = ((frame["doc_id"] == frame["doc_id"].iloc[-1]) & (frame["src"] == frame["src"].iloc[-1])).to_numpy()
-        cut = 0 if tail.all() else len(frame) - int(tail[::-1].argmin())
-        if cut:
-            rows = make(pd.concat([*held, frame.iloc[:cut]]))
-            held = []
-            yield pd.DataFrame(rows, columns=["doc_id", "src", "xs", "ys"])
-        held.append(frame.iloc[cut:])
-    if held:
-        yield pd.DataFrame(make(pd.concat(held)), columns=["doc_id", "src", "xs", "ys"])
+                rows.append((doc[a], src[a], x[a:b][c], y[a:b][c]))
+        yield pd.DataFrame(rows, columns=["doc_id", "src", "xs", "ys"])
 
 
 def cut_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,14 +165,25 @@ def cut_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame[["doc_id", "lo", "hi"]].assign(words=out)
 
 
+def reach(pairs: Iterable[tuple[str, str]]) -> int:
+    """How many pairs of words extend a passage: up to where equal ones outweigh the others most."""
+    score = best = n = 0
+    for i, (s, t) in enumerate(pairs, 1):
+        score += 1 if s == t else -UNEQUAL
+        if score > best:
+            best, n = score, i
+        elif score < best - DROP:
+            break
+    return n
+
+
 def align(a: list[str], b: list[str], xs: list[int], ys: list[int]) -> tuple[int, int, int, int, int]:
     """Extent on both sides and number of equal words of the passage around chained seeds."""
-    x0, y0 = xs[0], ys[0]
-    while x0 and y0 and a[x0 - 1] == b[y0 - 1]:
-        x0, y0 = x0 - 1, y0 - 1
+    n = reach(zip(reversed(a[max(xs[0] - MARGIN, 0) : xs[0]]), reversed(b[max(ys[0] - MARGIN, 0) : ys[0]])))
+    x0, y0 = xs[0] - n, ys[0] - n
     x1, y1 = xs[-1] + K, ys[-1] + K
-    while x1 < len(a) and y1 < len(b) and a[x1] == b[y1]:
-        x1, y1 = x1 + 1, y1 + 1
+    n = reach(zip(a[x1 : x1 + MARGIN], b[y1 : y1 + MARGIN]))
+    x1, y1 = x1 + n, y1 + n
     same, x, y = 0, x0, y0
     for u, v in [*zip(xs, ys, strict=True), (x1, y1)]:
         p, q = a[x:u], b[y:v]
@@ -168,6 +195,22 @@ def align(a: list[str], b: list[str], xs: list[int], ys: list[int]) -> tuple[int
     return x0, x1, y0, y1, same
 
 
+def passages(a: list[str], b: list[str], xs: list[int], ys: list[int]) -> list[tuple[tuple[int, ...], int]]:
+    """Passages of enough words and identity around a chain, each with its number of seeds."""
+    left, out = [(xs, ys)], []
+    while left:
+        xs, ys = left.pop()
+        x0, x1, y0, y1, same = found = align(a, b, xs, ys)
+        length = max(x1 - x0, y1 - y0)
+        if same >= IDENTITY * length:
+            if length >= MIN_WORDS and not any(x0 >= f[0] and x1 <= f[1] and y0 >= f[2] and y1 <= f[3] for f, _ in out):
+                out.append((found, len(xs)))
+        elif len(xs) > 1:
+            cut = int(np.argmax(np.maximum(np.diff(xs), np.diff(ys)))) + 1
+            left += [(xs[cut:], ys[cut:]), (xs[:cut], ys[:cut])]
+    return out
+
+
 def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         rows = []
@@ -176,11 +219,9 @@ def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             xs, ys = [p - r.a_lo for p in r.xs], [p - r.b_lo for p in r.ys]
             if xs[-1] + K > len(a) or ys[-1] + K > len(b):  # the other text of a repeated doc_id
                 continue
-            x0, x1, y0, y1, same = align(a, b, xs, ys)
-            length = max(x1 - x0, y1 - y0)
-            if length >= MIN_WORDS and same >= IDENTITY * length:
-                rows.append((r.doc_id, r.src, x0 + r.a_lo, x1 + r.a_lo, y0 + r.b_lo, y1 + r.b_lo,
-                             len(r.xs), same, round(same / length, 6), " ".join(a[x0:x1])))
+            for (x0, x1, y0, y1, same), n in passages(a, b, xs, ys):
+                rows.append((r.doc_id, r.src, x0 + r.a_lo, x1 + r.a_lo, y0 + r.b_lo, y1 + r.b_lo, n, same,
+                             round(same / max(x1 - x0, y1 - y0), 6), " ".join(a[x0:x1])))
         yield pd.DataFrame(rows, columns=["doc_id", "src_doc_id", "start_word", "end_word", "src_start_word",
                                           "src_end_word", "n_seeds", "n_equal", "identity", "passage"])
 

@@ -124,20 +124,3 @@ class Words:
             else:
                 out.append(np.unique(h[cut[i] : cut[i + 1]]))
         return out
-
-
-def window_minima(h: np.ndarray, w: int) -> np.ndarray:
-    """Positions that hold the least value of some run of w neighbours (all ties)."""
-
-    def slide(x: np.ndarray, least) -> np.ndarray:
-        step = 1
-        while 2 * step <= w:
-            x = least(x[:-step], x[step:])
-            step *= 2
-        return least(x[: len(x) - (w - step)], x[w - step :]) if step < w else x
-
-    if len(h) <= w:
-        return np.flatnonzero(h == h.min()) if len(h) else np.zeros(0, np.int64)
-    low = slide(h, np.minimum)
-    low = np.concatenate([np.full(w - 1, low[0]), low, np.full(w - 1, low[-1])])
-    return np.flatnonzero(h == slide(low, np.maximum)[: len(h)])
