@@ -328,6 +328,22 @@ def test_fuzzy_passages(spark, none):
     assert chain_dedup.fuzzy_passages(none).count() == 0
 
 
+def test_fuzzy_passages_with_seeds_of_many_holders(spark):
+    rng = random.Random(12)
+
+    def words(n):
+        return [word(rng) for _ in range(n)]
+
+    p1, p2, p, q, gap = words(25), words(25), words(45), words(45), words(60)
+    texts = {1: words(30) + p1 + words(30), 2: words(30) + p2 + words(30), 8: words(20) + p1 + p2 + words(20),
+             9: words(50) + p1 + p2 + words(9),
+             20: p[:22] + words(480) + p + words(20), 21: words(60) + p + words(7),
+             30: q + gap + p[::-1], 31: words(5) + q + words(60) + p[::-1]}
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    got = {(r.doc_id, r.src_doc_id, r.start_word, r.end_word, r.src_start_word) for r in chain_dedup.fuzzy_passages(frame).collect()}
+    assert got == {(9, 8, 50, 100, 20), (21, 20, 60, 105, 502), (31, 30, 5, 50, 0), (31, 30, 110, 155, 105)}
+
+
 @pytest.mark.parametrize("n", [60, 100])
 def test_fuzzy_passages_with_many_edits(spark, n):
     rng, rows, want = random.Random(n), [], set()

@@ -4,12 +4,17 @@
 2. *Join.*  Every seed is joined to its first holder (smallest doc_id, then position).  Each later
    occurrence makes one match, so a seed of a third of all documents makes no pairs among them;
    the join key is left to Spark to split.
-3. *Chains.*  The matches of a document with one earlier document are chained in order of both
+3. *Runs.*  Seeds of one passage may have first holders in different places.  So runs of seeds are
+   joined to the first holder of the run too: every ``MIN_WORDS`` words whose seeds don't lie in
+   one place of one holder, and pairs of seeds, one in ``NEAR`` and one in ``FAR`` words, whose
+   holders lie apart.  Whether a run is asked for depends on its seeds alone, so that both sides
+   ask for the same ones.  Equal passages of ``MIN_WORDS`` words are therefore always found.
+4. *Chains.*  The matches of a document with one earlier document are chained in order of both
    positions; of matches that follow each other word by word, every eighth and the last are kept.
    A chain scores eight a seed less a cost for the words it skips on both sides; the best
    predecessor comes from a Fenwick tree of prefix maxima.  A chain is cut where it skips more
    than ``MAX_GAP`` words.
-4. *Alignment.*  The words between chained seeds are aligned, ends are extended by up to
+5. *Alignment.*  The words between chained seeds are aligned, ends are extended by up to
    ``MAX_GAP`` words while equal words outweigh others, and passages of ``MIN_WORDS`` words or
    more with an identity of 0.75 or more stay.  A chain of less identity is cut at its widest gap.
 
@@ -21,6 +26,7 @@ has rows; the first holder of a passage has none for it.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
@@ -35,6 +41,8 @@ from .staging import Staging
 K = 8
 MIN_WORDS, IDENTITY = 40, 0.75
 GAP_COST, MAX_GAP = 0.05, 100
+#: Distances of the second seed of a pair, ends included.
+NEAR, FAR = (K, 24), (25, 48)
 #: Words beyond a chain's ends that may still belong to its passage.
 MARGIN = MAX_GAP
 #: An unequal word beyond an end weighs as much as so many equal ones; how far the sum may fall.
@@ -48,7 +56,9 @@ def seeds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words = T.Words(raw[a:b])
             at, h = words.grams(K)
             text = words.text[at]
-            yield pd.DataFrame({"seed": h.view(np.int64), "doc_id": ids[a:b][text], "pos": (at - words.first[text]).astype(np.int32)})
+            copy = np.array([zlib.crc32(x) for x in raw[a:b]], np.uint32).view(np.int32)
+            yield pd.DataFrame({"seed": h.view(np.int64), "doc_id": ids[a:b][text], "copy": copy[text],
+                                "pos": (at - words.first[text]).astype(np.int32)})
 
 
 def whole(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -70,6 +80,45 @@ def whole(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFr
         yield pd.concat(held)
 
 
+def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Runs of seeds whose first holders lie apart, of rows sorted by (doc_id, copy, pos)."""
+    for g in whole(frames, ["doc_id", "copy"]):
+        g = g.drop_duplicates(["doc_id", "copy", "pos"])  # the same text twice
+        doc, copy, x = (g[c].to_numpy() for c in ("doc_id", "copy", "pos"))
+        src, y, seed = g["src"].to_numpy(), g["src_pos"].to_numpy().astype(np.int64), g["seed"].to_numpy().view(np.uint64)
+        n = len(g)
+        turn = (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1])
+        text = np.concatenate([[0], np.cumsum(turn)])
+        place = text * (1 << 32) + x
+        apart = np.concatenate([[0], np.cumsum((src[1:] != src[:-1]) | (np.diff(y) != np.diff(x)))])
+        out = []
+
+        i = np.arange(max(n - (MIN_WORDS - K), 0))
+        j = i + MIN_WORDS - K
+        i = i[(place[j] - place[i] == MIN_WORDS - K) & (apart[j] > apart[i])]
+        h = np.full(len(i), MIN_WORDS, np.uint64)
+        for k in range(0, MIN_WORDS - K + 1, K):
+            h += seed[i + k] * T.WORD_FACTORS[k]
+        out.append((i, i + MIN_WORDS - K, T.mix(h)))
+
+        for salt, (lo, hi) in enumerate((NEAR, FAR), 1):
+            begin, end = np.searchsorted(place, place + lo), np.searchsorted(place, place + hi, "right")
+            i = np.flatnonzero((begin < end) & (apart[end - 1] > apart))
+            begin, end = begin[i], end[i]
+            least, j = np.full(len(i), np.iinfo(np.uint64).max), begin.copy()
+            for step in range(hi - lo + 1):
+                at = np.minimum(begin + step, n - 1)
+                value = (seed[i] ^ seed[at]) * T.WORD_FACTORS[0]
+                better = (begin + step < end) & (value < least)
+                least[better], j[better] = value[better], at[better]
+            far = y[j] - y[i]
+            keep = (src[i] != src[j]) | (far <= 0) | (far > MAX_GAP)
+            i, j = i[keep], j[keep]
+            out.append((i, j, T.mix(seed[i] * T.WORD_FACTORS[1] + seed[j] * T.WORD_FACTORS[2] + np.uint64(salt))))
+        i, j, h = (np.concatenate(c) for c in zip(*out, strict=True))
+        yield pd.DataFrame({"run": h.view(np.int64), "doc_id": doc[i], "pos": x[i], "span": x[j] - x[i]})
+
+
 class Fenwick:
     """Prefix maxima under point updates."""
 
@@ -155,14 +204,12 @@ def chained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def cut_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The words lo to hi of a text, one space between them."""
+    """The words lo to hi of a text for each of its ``parts``, one space between them."""
     for frame in frames:
-        last, words, out = None, [], []
-        for text, lo, hi in zip(frame["text"], frame["lo"], frame["hi"], strict=True):
-            if text is not last:
-                last, words = text, bytes(T.LOWER[np.frombuffer(text.encode(), np.uint8)]).split()
-            out.append(b" ".join(words[lo:hi]).decode())
-        yield frame[["doc_id", "lo", "hi"]].assign(words=out)
+        for doc, text, parts in zip(frame["doc_id"], frame["text"], frame["parts"], strict=True):
+            words = bytes(T.LOWER[np.frombuffer(text.encode(), np.uint8)]).split()
+            out = [(doc, p["lo"], p["hi"], b" ".join(words[p["lo"] : p["hi"]]).decode()) for p in parts]
+            yield pd.DataFrame(out, columns=["doc_id", "lo", "hi", "words"])
 
 
 def reach(pairs: Iterable[tuple[str, str]]) -> int:
@@ -232,11 +279,23 @@ def fuzzy_passages(docs: DataFrame) -> DataFrame:
     staging = Staging(spark, "chains")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    found = docs.mapInPandas(seeds, "seed long, doc_id long, pos int")
+    found = docs.mapInPandas(seeds, "seed long, doc_id long, copy int, pos int")
     first = (found.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("m"))
              .where("f.doc_id < m").select("seed", F.col("f.doc_id").alias("src"), F.col("f.pos").alias("src_pos")))
     first = staging.put("first", first)  # the join can then split a hot seed
-    matches = found.join(first, "seed").where("doc_id > src").select("doc_id", "src", "pos", "src_pos")
+    held = staging.put("held", found.join(first, "seed"))
+    staging.release()
+    asked = (held.repartition(n, "doc_id", "copy").sortWithinPartitions("doc_id", "copy", "pos")
+             .mapInPandas(runs, "run long, doc_id long, pos int, span int"))
+    asked = staging.put("runs", asked)
+    whole_run = (asked.groupBy("run").agg(F.min(F.struct("doc_id", "pos", "span")).alias("f"), F.max("doc_id").alias("m"))
+                 .where("f.doc_id < m").select("run", F.col("f.doc_id").alias("src"), F.col("f.pos").alias("src_pos"),
+                                               F.col("f.span").alias("src_span")))
+    whole_run = staging.put("first_runs", whole_run)
+    ends = asked.join(whole_run, "run").where("doc_id > src")
+    matches = (held.where("doc_id > src").select("doc_id", "src", "pos", "src_pos")
+               .union(ends.select("doc_id", "src", "pos", "src_pos"))
+               .union(ends.select("doc_id", "src", F.expr("pos + span"), F.expr("src_pos + src_span"))))
     made = (matches.repartition(n, "doc_id", "src").sortWithinPartitions("doc_id", "src", "pos", "src_pos")
             .mapInPandas(chained, "doc_id long, src long, xs array<int>, ys array<int>"))
 
@@ -248,7 +307,9 @@ def fuzzy_passages(docs: DataFrame) -> DataFrame:
     staging.release()
     asked = made.select("doc_id", F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi")).union(
         made.select("src", "b_lo", "b_hi")).distinct()
-    slices = asked.join(docs, "doc_id")
+    # a text travels once for all its parts that begin within the same stretch, not once for each
+    parts = asked.groupBy("doc_id", F.expr("lo div 4096")).agg(F.collect_list(F.struct("lo", "hi")).alias("parts"))
+    slices = parts.join(docs, "doc_id").select("doc_id", "text", "parts")
     slices = staging.put("slices", slices.mapInPandas(cut_words, "doc_id long, lo int, hi int, words string"))
     staging.release()
 
