@@ -35,8 +35,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the token sequences, with their places."""
-    return packing.pack(docs)
+    """Pieces of the token sequences, with their token ids and places."""
+    return packing.pack(docs, keep_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

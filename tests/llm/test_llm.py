@@ -432,3 +432,18 @@ def test_pipeline(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
     assert set(out.doc_id) == {*range(60), 102}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "near_duplicates", "benchmark_decontamination", "personal_data", "packing"]
+
+
+def test_pipeline_keeps_the_token_ids(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    rng = random.Random(9)
+    texts = {i: prose(rng, 60) for i in range(3)} | {3: prose(rng, 3_000), 4: "write to a@b.cd now"}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = corpus_pipeline.packed(spark, corpus_pipeline.personal_data(spark, frame, str(tmp_path)), str(tmp_path)).toPandas()
+    whole = Tokenizer.from_file(packing.tokenizer_path())
+    texts[4] = "write to <EMAIL> now"
+    for doc, g in out.sort_values("start").groupby("doc_id"):
+        assert [x for part in g["ids"] for x in part] == [*whole.encode(texts[doc], add_special_tokens=False).ids, packing.END]
+    assert set(out.doc_id) == set(texts)

@@ -5,7 +5,7 @@ pieces of it fill a sequence.  A document is cut into full sequences first; its
 if k copies of it would fill a sequence up to ``SLACK``, otherwise the greatest C/k that fits is
 cut off, and so on, which takes few cuts as each rest shrinks to the square.
 
-Pieces are dealt to workers of about ``SHARE`` pieces by hash, so workers never depend on each
+Pieces are dealt to workers of about ``SHARE`` pieces (``SHARE_IDS`` with token ids) by hash, so workers never depend on each
 other and none grows with the corpus.  A worker fills each class's sequences by count and packs
 the last, partial ones of all classes by decreasing length.
 
@@ -29,6 +29,8 @@ from .staging import Staging
 CAPACITY, END = 2048, 1
 SLACK = 1 / 128
 SHARE = 20_000
+#: The same where pieces carry their token ids: at most 41 MB of them a worker.
+SHARE_IDS = 5_000
 CACHED_WORDS = 800_000
 TOKENIZER = "word_bpe_49k.json"
 
@@ -154,7 +156,7 @@ def piece_maker(path: str, keep_ids: bool):
                     ids, start = np.append(ids, np.uint32(END)).astype("<u4"), 0
                     for length in cuts(len(ids)):
                         part = ids[start : start + length]
-                        rows.append((doc, start, length, zlib.crc32(part.tobytes()), len(ids), *([part.astype(np.int64)] * keep_ids)))
+                        rows.append((doc, start, length, zlib.crc32(part.tobytes()), len(ids), *([part.astype(np.int32)] * keep_ids)))
                         start += length
                 out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * keep_ids])
                 yield out.assign(doc_id=out["doc_id"].astype("Int64"))
@@ -195,10 +197,10 @@ def fill(frame: pd.DataFrame) -> pd.DataFrame:
 def pack(docs: DataFrame, path: str | None = None, keep_ids: bool = False) -> DataFrame:
     """One row for each piece; with ``keep_ids`` its token ids too."""
     staging = Staging(docs.sparkSession, "packing")
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<long>" * keep_ids
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * keep_ids
     made = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
         piece_maker(path or tokenizer_path(), keep_ids), schema)
     made = staging.put("pieces", made)
-    workers = max(1, -(-made.count() // SHARE))
+    workers = max(1, -(-made.count() // (SHARE_IDS if keep_ids else SHARE)))
     dealt = made.withColumn("worker", F.pmod(F.xxhash64("doc_id", "start"), F.lit(workers)).cast("int"))
     return dealt.groupBy("worker").applyInPandas(fill, f"{schema}, sequence_id long, offset long")
