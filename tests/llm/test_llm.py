@@ -411,6 +411,20 @@ def test_quotations(spark):
     assert quotations.link(df).count() == len(rows) and quotations.link(df.limit(0)).count() == 0
 
 
+def test_partial_quotations(spark):
+    p1, p2, p3 = "One line here\nand a second\nand a third", "Other words. More of them! Last ones", "Third paragraph"
+    rows = [
+        (0, p1.split("\n")[0]), (1, f"{p1}\n\n{p2}\n\n{p3}"), (2, "> One line here\n> and a second\nyes"),
+        (3, "> Other words. More of them! Last ones\n>\n> Third paragraph\nfine"), (4, "> More of them!\nso"),
+        (5, "> More of\n> them! Last ones\nrewrapped"), (6, "> nowhere\n> and a third\nhalf"), (7, "> yes\nlate"), (8, "> never said\nno")]
+    df = spark.createDataFrame([(1, i, "u", t) for i, t in rows], "conv_id long, turn long, role string, text string")
+    got = {r.turn: r for r in quotations.link(df).collect()}
+    assert {i: r.parent_turn for i, r in got.items()} == {0: None, 1: None, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 7: 2, 8: None}
+    assert [got[i].n_linked for i in range(9)] == [0, 0, 1, 1, 1, 1, 1, 1, 0]
+    assert sorted(got, key=lambda i: got[i].position) == [0, 1, 2, 3, 4, 5, 6, 7, 8]
+    assert sorted(r.position for r in got.values()) == list(range(9))
+
+
 def test_long_reply_chain(spark):
     rows = [(1, 0, "u", "m0")] + [(1, i, "u", f"> m{i - 1}\nm{i}") for i in range(1, 40)]
     got = {r.turn: r.depth for r in quotations.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
