@@ -114,3 +114,14 @@ def test_unpivot_keeps_nulls(spark):
     df = spark.createDataFrame([(1, 10, None)], "id long, a long, b long")
     out = unpivot(df, ["id"], "h", {90: {"x": "a"}, 180: {"x": "b"}}).collect()
     assert sorted(map(tuple, out), key=lambda r: r[1]) == [(1, 90, 10), (1, 180, None)]
+
+
+def test_discrete_quantiles_of_a_large_group(spark):
+    from touchline.plans.governance import with_quantiles
+
+    n = 250_001
+    rows = spark.range(n).selectExpr("'a' as g", "pmod(id * 7919, 250001) as v").unionByName(
+        spark.createDataFrame([(None, 3), (None, 1), ("b", None)], "g string, v long"))
+    groups = rows.select("g").distinct()
+    got = {r.g: (r.low, r.mid, r.high) for r in with_quantiles(groups, rows, ["g"], "v", {"low": 0.25, "mid": 0.5, "high": 0.75}).collect()}
+    assert got == {"a": (62_500, 125_000, 187_500), None: (1, 1, 3), "b": (None, None, None)}

@@ -22,6 +22,7 @@ class Want:
 
     linear     interpolate between the two neighbouring ranks
     higher     upper neighbour, ceil(p (n-1)) counted from zero
+    discrete   least value that p of all rows don't exceed, rank ceil(p n) counted from one
     conformal  rank ceil((n+1) p) counted from one; null when it exceeds n
     """
 
@@ -31,6 +32,8 @@ class Want:
     def position(self, n: Column) -> Column:
         if self.rule == "conformal":
             return F.ceil((n + 1) * F.lit(float(self.p))) - 1
+        if self.rule == "discrete":
+            return F.greatest(F.ceil(n * F.lit(float(self.p))), F.lit(1)) - 1
         spot = (n - 1) * F.lit(float(self.p))
         return F.ceil(spot).cast("double") if self.rule == "higher" else spot
 

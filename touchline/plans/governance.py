@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions import labels as L
 from touchline.functions.exprs import MONEY, fixed_avg, money_avg, pct, rounded_avg
+from touchline.operators.order_stats import Want, order_statistics
 from touchline.operators.segments import fan_out, unpivot
 from touchline.plans.transfers import HORIZONS, LABEL_HORIZON, SUCCESS_PCT, money_diff
 
@@ -14,8 +15,17 @@ from touchline.plans.transfers import HORIZONS, LABEL_HORIZON, SUCCESS_PCT, mone
 MIN_SAMPLE = 30
 STRONG_SAMPLE = 100
 Z_95 = 1.96
-# Error below one rank for groups under 100,000 rows; a few MB per group buffer.
-QUANTILE_ACCURACY = 100_000
+
+
+def with_quantiles(grouped: DataFrame, rows: DataFrame, by: list[str], value: str, wants: dict[str, float]) -> DataFrame:
+    """``grouped`` with exact discrete quantiles of ``value``; null for groups without values."""
+    kind = rows.schema[value].dataType
+    found = order_statistics(rows, by, value, {n: Want(p, "discrete") for n, p in wants.items()}).select(
+        *[F.col(b).alias("_q_" + b) for b in by], *[F.col(n).cast(kind).alias(n) for n in wants])
+    same = F.lit(True)
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col("_q_" + b))
+    return grouped.join(found, same, "left").drop(*["_q_" + b for b in by])
 
 
 def cohort_rows(wh) -> DataFrame:
@@ -44,16 +54,18 @@ def fct_transfer_cohort_performance(wh) -> DataFrame:
     def status(name: str) -> Column:
         return F.count_if(F.col("outcome_status") == name).alias(name + "_count")
 
-    grouped = cohort_rows(wh).groupBy("horizon_days", "cohort_type", "cohort_value").agg(
+    by = ["horizon_days", "cohort_type", "cohort_value"]
+    rows = cohort_rows(wh)
+    grouped = rows.groupBy(*by).agg(
         F.count("*").alias("transfer_count"),
         F.count_if(seen).alias("observed_outcome_count"),
         status("missing_baseline"), status("not_yet_observable"), status("missing_followup"),
         F.round(fixed_avg(change), 2).alias("avg_market_value_change_pct"),
-        F.percentile_approx(change, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), QUANTILE_ACCURACY).alias("q"),
         F.round(F.stddev_samp(change), 2).alias("stddev_market_value_change_pct"),
         F.count_if(change > 0).alias("n_positive"),
         F.round(fixed_avg("fee_market_value_difference_pct"), 2).alias("avg_fee_premium_pct"),
     )
+    grouped = with_quantiles(grouped, rows.where(seen), by, "change_pct", {"p25": 0.25, "median": 0.5, "p75": 0.75})
     mean, n = F.col("avg_market_value_change_pct"), F.col("observed_outcome_count")
     # The interval uses the published, rounded mean and deviation.
     half = Z_95 * F.try_divide(F.col("stddev_market_value_change_pct"), F.sqrt(n))
@@ -62,9 +74,9 @@ def fct_transfer_cohort_performance(wh) -> DataFrame:
         "missing_baseline_count", "not_yet_observable_count", "missing_followup_count",
         pct("observed_outcome_count", "transfer_count").alias("outcome_coverage_pct"),
         mean,
-        F.round(F.col("q")[1], 2).alias("median_market_value_change_pct"),
-        F.round(F.col("q")[0], 2).alias("p25_market_value_change_pct"),
-        F.round(F.col("q")[2], 2).alias("p75_market_value_change_pct"),
+        F.round("median", 2).alias("median_market_value_change_pct"),
+        F.round("p25", 2).alias("p25_market_value_change_pct"),
+        F.round("p75", 2).alias("p75_market_value_change_pct"),
         "stddev_market_value_change_pct",
         pct("n_positive", "observed_outcome_count").alias("positive_outcome_rate_pct"),
         "avg_fee_premium_pct",
@@ -219,14 +231,14 @@ def fct_agent_portfolio(wh) -> DataFrame:
         F.sum("transfer_fee").alias("fees"), F.max("transfer_fee").alias("top_fee"))
     value = F.col("market_value_in_eur")
     complete = F.col("player_profile_completeness_status") == "complete"
+    held = players.join(play, "player_id", "left")
     grouped = (
-        players.join(play, "player_id", "left").join(moves, "player_id", "left")
+        held.join(moves, "player_id", "left")
         .groupBy("agent_name").agg(
             F.count("*").alias("player_count"),
             F.count_if(F.col("has_current_market_value")).alias("players_with_current_market_value"),
             F.sum(value).alias("total_current_market_value"),
             rounded_avg(value).alias("avg_current_market_value"),
-            F.percentile_approx(value, 0.5, QUANTILE_ACCURACY).alias("median_current_market_value"),
             F.max(value).alias("max_current_market_value"),
             F.sum("matches_played").alias("total_player_matches"),
             F.sum("total_goals").alias("total_player_goals"),
@@ -238,6 +250,9 @@ def fct_agent_portfolio(wh) -> DataFrame:
             F.count_if(complete).alias("complete_profile_players"),
         )
     )
+    names = grouped.columns
+    names.insert(names.index("avg_current_market_value") + 1, "median_current_market_value")
+    grouped = with_quantiles(grouped, held, ["agent_name"], "market_value_in_eur", {"median_current_market_value": 0.5}).select(names)
     return grouped.withColumns({
         "transfer_fee_coverage_pct": pct("known_fee_transfer_records", "total_transfer_records"),
         "complete_profile_player_pct": pct("complete_profile_players", "player_count"),
