@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chain_dedup, decontaminate, language, minhash_dedup, packing, permutation_index, pii, quality, quotations, substring_exact,
+    chain_dedup, decontaminate, language, minhash_dedup, packing, permutation_index, pii, prefix_trie, quality, quotations,
+    substring_exact,
 )
 
 
@@ -66,6 +67,10 @@ def op10_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chain_dedup.fuzzy_passages(table(spark, sf_dir, "documents")).drop("passage")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_permutation_index": op1_permutation_index,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_containment": op8_containment,
     "op9_personal_data": op9_personal_data,
     "op10_collinear_chains": op10_collinear_chains,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 _WORDS = """list_filter(regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"""
