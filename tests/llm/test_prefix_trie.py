@@ -46,16 +46,19 @@ def check(spark, rows):
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
 
 
-def test_trie(spark):
+@pytest.mark.parametrize("local", [40, prefix_trie.LOCAL])
+def test_trie(spark, monkeypatch, local):
+    monkeypatch.setattr(prefix_trie, "LOCAL", local)
     rng = random.Random(1)
     rows = [(c, t, rng.choice(["u", "a", None]), rng.choice(["x y", "z", None, "", "q  w\te"]))
-            for c in [*range(-45, 60), 100, 101, 119, None] for t in [None] * rng.randint(0, 2) + list(range(rng.randint(0, 5)))]
+            for c in [*range(-25, 40), 100, 101, 119, None] for t in [None] * rng.randint(0, 2) + list(range(rng.randint(0, 5)))]
     rows += rows[:9]  # repeated rows
     check(spark, rows)
 
 
-def test_long_conversations(spark):
+def test_long_conversations(spark, monkeypatch):
     """Deep unary paths, one turn repeated in one place, turns beyond a block."""
+    monkeypatch.setattr(prefix_trie, "LOCAL", 1500)
     rows = [(40, t, "u", str(t % 3)) for t in range(1300)] + [(41, t, "u", str(t % 3)) for t in range(1200)]
     check(spark, rows + [(47, 7, "u", "same")] * 1100 + [(46, 7, "u", "same")] * 90 + [(21, 0, "u", "alone")])
 
@@ -69,8 +72,9 @@ def test_empty(spark):
     assert prefix_trie.build(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-@pytest.mark.parametrize("shape", ["path", "star", "random"])
-def test_subtree_totals(spark, shape):
+@pytest.mark.parametrize("shape, local", [("path", 6), ("path", 10**6), ("star", 1), ("random", 9), ("random", 10**6)])
+def test_subtree_totals(spark, monkeypatch, shape, local):
+    monkeypatch.setattr(prefix_trie, "LOCAL", local)
     rng = random.Random(3)
     n = 60
     parent = [None] + [{"path": k - 1, "star": 0, "random": rng.randrange(k)}[shape] for k in range(1, n)]

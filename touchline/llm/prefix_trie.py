@@ -17,6 +17,7 @@ centroid is done, and the components that are left have at most half the weight.
 finds the component below the centroid that it falls to through the prefix of one of its
 conversations, at the centroid's depth and one more.  So the number of rounds grows with the
 logarithm of the rows, whatever the depth of the trie, and each round is a few equi-joins.
+Components of no more than ``LOCAL`` weight go on in the same way inside one task.
 
 Rows without conv_id are left out.  Null role or text is empty.  Turns that tie on (turn, role,
 text) are equal rows and all count.  Conversations with fewer turns, or without a conversation
@@ -34,10 +35,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chain_dedup import whole
 from .staging import Staging
 
 BLOCK = 1024
 CHUNK = 8192
+#: Weight of components, and so most of their nodes, that one task finishes.
+LOCAL = 20_000
 KEY = ["k1", "k2"]
 
 
@@ -140,46 +144,93 @@ def digests(ends: DataFrame) -> DataFrame:
             .mapInPandas(hashed, "node long, ends_sha256 string"))
 
 
+def centroid_totals(up: list[int], weight: list[int], values: list[tuple[int, ...]], added: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
+    """Subtree sums of one component in memory.  ``up`` is each node's parent, -1 at the top; parents come first."""
+    out, left = list(added), [list(range(len(up)))]
+    while left:
+        part = left.pop()
+        total = weight[part[0]]
+        half = [u for u in part if 2 * weight[u] > total]
+        centre = half.pop()
+        below: dict[int, int] = {}
+        pieces: dict[int, list[int]] = {}
+        side = values[centre]
+        for u in part:
+            if (top := u if up[u] == centre else below.get(up[u], -1)) >= 0:
+                below[u] = top
+                pieces.setdefault(top, []).append(u)
+                side = tuple(map(int.__add__, side, values[u]))
+        out[centre] = tuple(map(int.__add__, out[centre], side))
+        for u in half:
+            weight[u] -= weight[centre]
+            out[u] = tuple(map(int.__add__, out[u], side))
+        rest = [u for u in part if u not in below and u != centre]
+        left += [*pieces.values(), *[rest] * bool(rest)]
+    return out
+
+
+def settled(own: list[str], added: list[str]):
+    def settle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Totals of components in consecutive rows, each by depth."""
+        for g in whole(frames, ["part"]):
+            node, parent, part = (g[c].tolist() for c in ("node", "parent", "part"))
+            weight = g["weight"].tolist()
+            values, adds = (list(zip(*[g[c].tolist() for c in cs], strict=True)) for cs in (own, added))
+            edge = [0, *[i for i in range(1, len(part)) if part[i] != part[i - 1]], len(part)]
+            totals = []
+            for a, b in zip(edge, edge[1:], strict=False):
+                at = {n: i for i, n in enumerate(node[a:b])}
+                totals += centroid_totals([at.get(p, -1) for p in parent[a:b]], weight[a:b], values[a:b], adds[a:b])
+            yield pd.DataFrame(totals, columns=own).assign(node=node)[["node", *own]]
+
+    return settle
+
+
 def subtree_totals(nodes: DataFrame, path: DataFrame, values: list[str], staging: Staging) -> DataFrame:
     """``node`` and, under their names, the sums of ``values`` over its subtree.
 
-    ``nodes``: node, parent (null: a root), conv_id (any conversation through it), depth, weight (of
+    ``nodes``: node, parent (null: a root; one only), conv_id (any conversation through it), depth, weight (of
     its subtree, falling by at least one from parent to child) and the values; ``path``: the node
     and its parent at each conv_id and depth.
     """
     own, added = values, [f"add_{v}" for v in values]
-    level = nodes.select("node", "conv_id", "depth", "weight", F.lit(-1).cast("long").alias("part"), *own,
-                         *[F.lit(0).cast("long").alias(a) for a in added])
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    level = nodes.select("node", F.coalesce("parent", F.lit(-1)).alias("parent"), "conv_id", "depth", "weight",
+                         F.lit(-1).cast("long").alias("part"), *own, *[F.lit(0).cast("long").alias(a) for a in added])
     level, k, done = staging.put("level0", level), 0, []
     below = path.select("conv_id", F.col("depth").alias("next"), F.col("node").alias("child"), F.col("parent").alias("over"))
-    while not level.isEmpty():
+    while True:
         # The top of a component holds its whole weight.
-        total = level.groupBy("part").agg(F.max("weight").alias("total"))
-        half = level.join(total, "part").where("2 * weight > total")
-        centre = staging.put(f"centre{k}", half.groupBy("part").agg(
-            F.max_by(F.struct("node", "depth", "weight"), "depth").alias("c"), F.max("total").alias("total")).select(
-            "part", F.col("c.node").alias("centre"), F.col("c.depth").alias("at"), F.col("c.weight").alias("under"), "total"))
+        total = staging.put(f"total{k}", level.groupBy("part").agg(F.max("weight").alias("total")))
+        level = level.join(total, "part")
+        small = (level.where(F.col("total") <= LOCAL).repartition(n, "part").sortWithinPartitions("part", "depth")
+                 .mapInPandas(settled(own, added), ", ".join(f"{c} long" for c in ["node", *own])))
+        done.append(staging.put(f"small{k}", small))
+        if total.where(F.col("total") > LOCAL).isEmpty():
+            break
+        level = level.where(F.col("total") > LOCAL)
+        centre = level.where("2 * weight > total").groupBy("part").agg(
+            F.max_by(F.struct("node", "depth", "weight"), "depth").alias("c"))
+        centre = staging.put(f"centre{k}", centre.select(
+            "part", F.col("c.node").alias("centre"), F.col("c.depth").alias("at"), F.col("c.weight").alias("under")))
         placed = level.join(centre, "part").withColumn("next", F.col("at") + 1)
         lower = placed.where("depth > at").join(below, ["conv_id", "next"], "left")
         lower = lower.withColumn("falls", F.col("over") == F.col("centre")).drop("over")
         upper = placed.where("depth <= at").select("*", F.lit(None).cast("long").alias("child"), F.lit(False).alias("falls"))
         placed = staging.put(f"placed{k}", lower.unionByName(upper))
         side = placed.where("falls or node = centre").groupBy("part").agg(*[F.sum(v).alias(f"side_{v}") for v in own])
-        side = staging.put(f"side{k}", side)
-        moved = placed.join(side, "part")
+        moved = placed.join(staging.put(f"side{k}", side), "part")
         alone = F.col("node") == F.col("centre")
         on_path = ~F.col("falls") & (2 * F.col("weight") > F.col("total"))
         sums = [F.when(alone | on_path, F.col(a) + F.col(f"side_{v}")).otherwise(F.col(a)).alias(a) for v, a in zip(own, added, strict=True)]
         moved = moved.select(
-            "node", "conv_id", "depth", F.when(on_path, F.col("weight") - F.col("under")).otherwise(F.col("weight")).alias("weight"),
+            "node", "parent", "conv_id", "depth", F.when(on_path, F.col("weight") - F.col("under")).otherwise(F.col("weight")).alias("weight"),
             F.when(F.col("falls"), F.col("child")).otherwise(F.col("part")).alias("part"), *own, *sums, alone.alias("alone"))
         k += 1
         moved = staging.put(f"level{k}", moved)
         done.append(moved.where("alone").select("node", *[F.col(a).alias(v) for v, a in zip(own, added, strict=True)]))
         level = moved.where("not alone").drop("alone")
         staging.drop(f"placed{k - 1}", f"centre{k - 1}", f"side{k - 1}")
-    if not done:
-        return level.select("node", *own)
     out = done[0]
     for d in done[1:]:
         out = out.union(d)

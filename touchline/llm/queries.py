@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chain_dedup, decontaminate, language, minhash_dedup, packing, permutation_index, pii, prefix_trie, quality, quotations,
-    substring_exact,
+    chain_dedup, decontaminate, exact_topk, language, minhash_dedup, packing, permutation_index, pii, prefix_trie, quality, quotations,
+    substring_exact, whitening,
 )
 
 
@@ -71,6 +71,14 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.build(table(spark, sf_dir, "conversations"))
 
 
+def op12_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.exact_top(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+def op13_spectrum_slicing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_permutation_index": op1_permutation_index,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -83,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_collinear_chains": op10_collinear_chains,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_uniform_threshold": op12_uniform_threshold,
+    "op13_spectrum_slicing": op13_spectrum_slicing,
 }
 _WORDS = """list_filter(regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"""
