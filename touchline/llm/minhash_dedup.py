@@ -16,7 +16,7 @@ similarity of 0.75 or more.  The steps:
 
 Null, empty and blank texts have an empty set and are linked with nothing.  Rows without a
 doc_id are left out.  Rows that repeat a doc_id count as one document, the one with the
-largest set.  Other columns are ignored.
+largest set, of equally large ones the one with the greatest digest.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -64,18 +64,25 @@ def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     continue
                 low = minima(s)
                 bands = T.mix((low[: BANDS * ROWS].reshape(BANDS, ROWS) * T.WORD_FACTORS[:ROWS]).sum(axis=1) + salt)
-                digest = np.array([s.sum(), T.mix(s + np.uint64(1)).sum()]).view(np.int64)
-                rows.append((doc, len(s), digest[0], digest[1], bands.view(np.int64),
+                rows.append((doc, len(s), *digest(s), bands.view(np.int64),
                              (T.mix(low) & np.uint64(255)).astype(np.uint8).tobytes()))
             yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "d1", "d2", "bands", "signature"])
 
 
+def digest(s: np.ndarray) -> np.ndarray:
+    """128 bits of a set."""
+    return np.array([s.sum(dtype=np.uint64), T.mix(s + np.uint64(1)).sum(dtype=np.uint64)]).view(np.int64)
+
+
 def shingle_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The sets of the texts whose digest is asked for; a doc_id may come with other texts."""
     for frame in frames:
         raw, ids = T.encode(frame["text"]), frame["doc_id"].to_numpy()
+        asked = frame[["d1", "d2"]].to_numpy()
         for a, b in T.batches(raw):
-            sets = T.Words(raw[a:b]).shingles(SHINGLE)
-            yield pd.DataFrame({"doc_id": ids[a:b], "shingles": [s.view(np.int64) for s in sets]})
+            sets = [(i, s.view(np.int64)) for i, s, d in zip(ids[a:b], T.Words(raw[a:b]).shingles(SHINGLE), asked[a:b], strict=True)
+                    if (digest(s) == d).all()]
+            yield pd.DataFrame(sets, columns=["doc_id", "shingles"])
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -129,11 +136,14 @@ def cell_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": x, "b": y})
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, staging: Staging, name: str) -> DataFrame:
-    """Those pairs (a, b) of documents whose full sets reach the threshold."""
+def confirm(docs: DataFrame, chosen: DataFrame, pairs: DataFrame, staging: Staging, name: str) -> DataFrame:
+    """Those pairs (a, b) of documents whose full sets reach the threshold.
+
+    ``chosen`` has the digest of the set that stands for a doc_id.
+    """
     sides = [pairs.select(F.col(c).alias("doc_id")).distinct() for c in ("a", "b")]
-    needed = sides[0].union(sides[1]).distinct()
-    sets = staging.put(f"{name}sets", docs.join(needed.hint("merge"), "doc_id", "left_semi").mapInPandas(
+    needed = chosen.select("doc_id", "d1", "d2").join(sides[0].union(sides[1]).distinct(), "doc_id", "left_semi")
+    sets = staging.put(f"{name}sets", docs.join(needed.hint("merge"), "doc_id").mapInPandas(
         shingle_sets, "doc_id long, shingles array<long>").dropDuplicates(["doc_id"]))
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
@@ -151,14 +161,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     all_docs = staging.put("sketches", docs.mapInPandas(sketch, FEATURES))
     size = all_docs.groupBy("doc_id").agg(F.max(F.struct("n_shingles", "d1", "d2")).alias("s")).select("doc_id", "s.*")
-    digest = ["n_shingles", "d1", "d2"]
+    digest_columns = ["n_shingles", "d1", "d2"]
     # Minima are written before they are joined: the join can then split a hot key.
-    least = staging.put("least", size.where("n_shingles > 0").groupBy(*digest).agg(F.min("doc_id").alias("rep")))
-    members = staging.put("members", size.join(least, digest, "left").select(
-        "doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")))
-    reps = members.where("rep = doc_id and n_shingles > 0").select("doc_id", "n_shingles")
-    reps = staging.put("reps", all_docs.join(reps, ["doc_id", "n_shingles"], "left_semi").dropDuplicates(["doc_id"])
-                       .select("doc_id", "n_shingles", "bands", "signature"))
+    least = staging.put("least", size.where("n_shingles > 0").groupBy(*digest_columns).agg(F.min("doc_id").alias("rep")))
+    members = staging.put("members", size.join(least, digest_columns, "left").select(
+        "doc_id", *digest_columns, F.coalesce("rep", "doc_id").alias("rep")))
+    reps = members.where("rep = doc_id and n_shingles > 0").select("doc_id", *digest_columns)
+    reps = staging.put("reps", all_docs.join(reps, ["doc_id", *digest_columns], "left_semi").dropDuplicates(["doc_id"])
+                       .select("doc_id", *digest_columns, "bands", "signature"))
     staging.drop("sketches")
     posted = reps.select("doc_id", F.explode("bands").alias("bucket"))
     leaders = staging.put("leaders", posted.groupBy("bucket").agg(
@@ -172,7 +182,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = staging.put("met", met.join(side("b"), "b").join(side("a"), "a")
                       .where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
                       .where(F.pandas_udf(promising, "boolean")("s_a", "s_b")).select("a", "b"))
-    links = confirm(docs, met, staging, "first")
+    links = confirm(docs, reps, met, staging, "first")
     roots = components(links, staging, "first")
 
     # Buckets of three and more that still hold several components.
@@ -190,7 +200,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     across = (cells.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
               .mapInPandas(cell_pairs, "a long, b long").distinct())
     across = staging.put("across", across)
-    more = confirm(docs, across, staging, "second")
+    more = confirm(docs, reps, across, staging, "second")
     if not more.isEmpty():
         stars = roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
         roots = components(stars.union(more), staging, "second")
