@@ -5,7 +5,7 @@ pieces of it fill a sequence.  A document is cut into full sequences first; its
 if k copies of it would fill a sequence up to ``SLACK``, otherwise the greatest C/k that fits is
 cut off, and so on, which takes few cuts as each rest shrinks to the square.
 
-Pieces are dealt to workers of about ``SHARE`` pieces (``SHARE_IDS`` with token ids) by hash, so workers never depend on each
+Pieces are dealt to workers of about ``SHARE`` pieces (``SHARE_IDS`` with token ids) by a hash of their row numbers, so workers never depend on each
 other and none grows with the corpus.  A worker fills each class's sequences by count and packs
 the last, partial ones of all classes by decreasing length.
 
@@ -202,5 +202,6 @@ def pack(docs: DataFrame, path: str | None = None, keep_ids: bool = False) -> Da
         piece_maker(path or tokenizer_path(), keep_ids), schema)
     made = staging.put("pieces", made)
     workers = max(1, -(-made.count() // (SHARE_IDS if keep_ids else SHARE)))
-    dealt = made.withColumn("worker", F.pmod(F.xxhash64("doc_id", "start"), F.lit(workers)).cast("int"))
+    # By row number, as doc_ids may be missing or repeat.
+    dealt = made.withColumn("worker", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(workers)).cast("int"))
     return dealt.groupBy("worker").applyInPandas(fill, f"{schema}, sequence_id long, offset long")
