@@ -7,12 +7,14 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("touchline.llm")
 
 from touchline.llm import (  # noqa: E402
     chain_dedup, components, decontaminate, language, minhash_dedup, packing, permutation_index, pii, quality,
     quotations, substring_exact)
+from touchline.llm import text as T  # noqa: E402
 from touchline.llm.staging import Staging  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, u long, n int, rep long, _text string"
@@ -105,6 +107,22 @@ def test_near_duplicates_counts_a_repeated_row_once(docs):
         map(tuple, minhash_dedup.near_duplicates(docs).collect()))
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_near_duplicates_of_a_doc_id_with_other_texts(spark, order):
+    rng = random.Random(12)
+    a, b, c = ([word(rng) for _ in range(n)] for n in (90, 60, 90))
+    near = [*a[:-1], "other"]
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(near)), (3, " ".join(b)), (4, " ".join(a)), (4, " ".join(c)), (5, " ".join(c)), (5, " ".join(c))][::order]
+    got = {}
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got[parts] = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(df).collect()}
+    assert got[1] == got[3] and got[1][1] == (86, 1) and got[1][2] == (86, 1) and got[1][3] == (56, 3)
+    # of two equally large sets the one with the greater digest stands for document 4
+    big = max((" ".join(a), " ".join(c)), key=lambda t: tuple(minhash_dedup.digest(T.Words([t.encode()]).shingles(5)[0])))
+    assert got[1][4][1] == (1 if big == " ".join(a) else 4) and got[1][5][1] == (5 if big == " ".join(a) else 4)
+
+
 def test_cells_find_links_away_from_the_leader(spark):
     rng = random.Random(3)
     words = [word(rng) for _ in range(400)]
@@ -217,11 +235,28 @@ def test_personal_data(spark, none):
 
 
 def test_redaction(spark):
-    df = spark.createDataFrame([(1, "a.b@c.de at 1.2.3.4, v1.2 x-y.z 12 34-5; 4111 1111-1111 1111", 5, "k"), (2, None, 9, "k"), (3, "plain.text", 1, "k")],
-                               "doc_id long, text string, n_chars long, _cut string")
-    got = {r.doc_id: r for r in pii.redact(df.select("doc_id", "text", "n_chars")).collect()}
-    assert got[1].text == "<EMAIL> at <IP>, v1.2 x-y.z 12 34-5; <CARD>" and got[1].n_chars == len(got[1].text)
-    assert got[2].text is None and got[2].n_chars == 9 and got[3].text == "plain.text"
+    rows = [(1, "a.b@c.de at 1.2.3.4, v1.2 x-y.z 12 34-5; 4111 1111-1111 1111", 5), (2, None, 9), (3, "plain.text", 1), (4, "", 0),
+            (5, "4111111111111111@b.cd end", 1), (6, "pay DE89 3704 0044 0532 0130 00 NOW, GB82 WEST 1234 5698 7654 32.", 1),
+            (7, "FR14 2004 1010 0505 0001 3M02 606 DE88 3704 0044 0532 0130 00 DE89370400440532013000", 1),
+            (8, "+4111111111111111 \x01\x03 ü1.2.3.4ñ +1 (743) 555-3824@b.cd", 1), (None, "x@y.zz", 1), (9, "a@b.cd " * 700, 1), (9, "a@b.cd", 1)]
+    df = spark.createDataFrame([(*r, "k", "m") for r in rows], "doc_id long, text string, n_chars long, _text string, _row string")
+    out = pii.redact(df)
+    assert out.columns == df.columns
+    got = [(r.doc_id, r.text, r.n_chars, r._text, r._row) for r in out.collect()]
+    want = []
+    for i, t, n in rows:
+        spans = sorted((int(a), -int(b), pii.KINDS.index(k)) for k, a, b in (
+            x.split(":") for x in pii.detect(df.where(F.col("text").eqNullSafe(F.lit(t)))).first().spans.split(",") if x))
+        new, at = "", 0
+        for a, b, k in spans:
+            if a >= at:
+                new += t[at:a] + f"<{pii.KINDS[k].upper()}>"
+            at = max(at, -b)
+        want.append((i, new + t[at:], len(new + t[at:]), "k", "m") if spans else (i, t, n, "k", "m"))
+    assert sorted(got, key=str) == sorted(want, key=str)
+    by = {r[0]: r[1] for r in got}
+    assert by[1] == "<EMAIL> at <IP>, v1.2 x-y.z 12 34-5; <CARD>" and by[5] == "<EMAIL> end"
+    assert by[6] == "pay <IBAN> NOW, <IBAN>." and by[7].startswith("<IBAN> ") and by[7].endswith(" <IBAN>")
 
 
 def test_languages(spark, none):
@@ -282,6 +317,13 @@ def test_line_marginals_against_all_labellings():
             at += 1
 
 
+def test_packing_shares_out_rows_without_id(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARE", 50)
+    rows = [(None, "w " * (k % 7)) for k in range(300)] + [(3, "same")] * 200
+    made = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).toPandas()
+    assert len(made) == 500 and (made["sequence_id"] // (1 << 32)).value_counts().max() < 100
+
+
 def test_packing(docs, rows, none):
     from tokenizers import Tokenizer
 

@@ -1,7 +1,7 @@
 """Personal data: patterns propose spans, checksums confirm them, context words adjust a score.
 
 Only DataFrame functions are used.  Kinds: email, ip, card (Luhn), phone and, beyond the base
-kinds, iban (mod 97).  Spans are in code points, the end exclusive.
+kinds, iban (mod 97; in one run or in groups of four).  Spans are in code points, the end exclusive.
 
 Java's matcher retries a failed run from each of its characters and recurses into repeated
 groups.  So every pattern here starts only where a run starts or the last match ended, uses
@@ -31,7 +31,9 @@ PATTERN = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9][0-9\x03\x05]{15,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}+(?![A-Za-z0-9])",
+    # in one run, or in groups of four after single spaces; from the third on a group holds a digit, unlike most words
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|\x20[A-Z0-9]{4}(?:\x20(?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}(?![A-Za-z0-9])){1,6}"
+            r"(?:\x20(?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3}(?![A-Za-z0-9]))?)(?![A-Za-z0-9])",
 }
 #: A text without this character has no match.
 NEEDS = {"email": "@", "phone": "+", "ip": "."}
@@ -60,7 +62,8 @@ def luhn(s: Column) -> Column:
 
 
 def mod97(s: Column) -> Column:
-    """Whether an account number's check digits hold."""
+    """Whether an account number's check digits hold; spaces don't count."""
+    s = F.translate(s, " ", "")
     turned = F.concat(F.substring(s, F.lit(5), F.length(s)), F.substring(s, 1, 4))
 
     def step(a: Column, c: Column) -> Column:
@@ -154,21 +157,49 @@ def detect(docs: DataFrame) -> DataFrame:
         F.concat(*[scored(k) for k in KINDS]).alias("scores"))
 
 
+def merged(df: DataFrame, last: str) -> DataFrame:
+    """``df`` with ``_all``, the spans of all kinds by start, longest first, and ``last``, the end reached before each.
+
+    Running maxima are taken in blocks, as the sums of ``with_starts``.
+    """
+    every = [F.transform(f"_{kind}", lambda s: F.struct(s["start"], (-s["end"]).alias("back"), F.lit(k).alias("kind")))  # noqa: B023
+             for k, kind in enumerate(KINDS)]
+    df = df.withColumn("_all", F.array_sort(F.concat(*every)))
+
+    def grow(acc: Column, x: Column) -> Column:
+        return F.array_append(acc, F.greatest(F.element_at(acc, -1), x))
+
+    df = df.withColumn("_ends", F.transform("_all", lambda s: -s["back"]))
+    df = df.withColumn("_blocks", F.transform(
+        F.sequence(F.lit(0), F.floor(F.greatest(F.size("_ends") - 1, F.lit(0)) / BLOCK).cast("int")),
+        lambda b: F.slice("_ends", b * BLOCK + 1, F.lit(BLOCK))))
+    tops = F.transform("_blocks", lambda b: F.coalesce(F.array_max(b), F.lit(0)))
+    df = df.withColumn("_before", F.aggregate(tops, F.array(F.lit(0)), grow))
+    inner = F.zip_with("_blocks", F.slice("_before", F.lit(1), F.size("_blocks")), lambda b, p: F.aggregate(b, F.array(p), grow))
+    df = df.withColumn(last, F.flatten(F.transform(inner, lambda s: F.slice(s, F.lit(1), F.size(s) - 1))))
+    return df.withColumn("_reached", F.element_at("_before", -1)).drop("_ends", "_blocks", "_before")
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every confirmed span replaced by its kind in angle brackets.
 
-    Kinds are replaced one after the other, longest checks first; other text stays as it is,
-    but for the private control characters.  ``n_chars``, where there, is counted anew.
+    The spans are those of ``detect``, all found in the text as given.  Spans that overlap are
+    replaced as one, by the kind that starts first, of these the longest.  All other text stays as
+    it is.  ``n_chars``, where there, is counted anew in documents with spans.
     """
     columns = docs.columns
-    for kind in ("iban", "card", "email", "ip", "phone"):
-        cut = pieces(kind, safe(F.col("text")))
-        docs = docs.withColumn("_cut", cut)
-        tag = F.lit(f"<{kind.upper()}>")
-        whole = F.array_join(F.transform("_cut", lambda p, i: F.when((i % 2 == 1) & valid(kind, p), tag).otherwise(p)), "")  # noqa: B023
-        inner = INNER.get(kind, [])
-        whole = F.translate(whole, "".join(x[2] for x in inner), "".join(x[1] for x in inner)) if inner else whole
-        docs = docs.withColumn("text", F.when(F.col("_cut").isNotNull(), whole).otherwise(F.col("text"))).drop("_cut")
+    df = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
+    df = merged(spans(df.withColumn("_text", safe(F.col("_row.text"))), "_text"), "_last")
+    opens = F.filter(
+        F.transform("_all", lambda s, i: F.struct(s["start"], F.get(F.col("_last"), i).alias("last"), s["kind"])),
+        lambda s: s["start"] >= s["last"])
+    df = df.withColumn("_opens", opens)
+    tags = F.array(*[F.lit(f"<{kind.upper()}>") for kind in KINDS])
+    told = F.transform("_opens", lambda s: F.concat(
+        F.substring(F.col("_row.text"), s["last"] + 1, s["start"] - s["last"]), F.get(tags, s["kind"])))
+    rest = F.substring(F.col("_row.text"), F.col("_reached") + 1, F.length("_row.text"))
+    df = df.withColumn("_new", F.when(F.size("_all") > 0, F.concat(F.array_join(told, ""), rest)))
+    new = {"text": F.coalesce("_new", "_row.text")}
     if "n_chars" in columns:
-        docs = docs.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return docs.select(columns)
+        new["n_chars"] = F.when(F.col("_new").isNotNull(), F.length("_new").cast("long")).otherwise(F.col("_row.n_chars"))
+    return df.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in columns])
