@@ -67,4 +67,5 @@ def statements() -> dict[str, str]:
             out[name] = compose(f"select * from ({sql.strip()})")
     out["refresh_audit"] = proofs.audits(compose, at)
     out["check_volumes"] = proofs.volumes(out["refresh_audit"])
+    out["check_declared_rules"] = compose(proofs.declared_rules(out["refresh_audit"]))
     return out

@@ -5,25 +5,33 @@ Each counts violations from the tables themselves, by a plainer route than the S
 
 from duck_oracle.common import AS_OF, div, exact_mean
 from duck_oracle.queries import _tally
+from touchline.quality import rule_set
 
 _T = "fct_transfer_market_value_analysis"
 _H = "fct_transfer_fixed_horizon_outcomes"
 EARLY = "DATE '1997-06-30'"
 
-_ACCEPTED = [
-    ("dim_players", "player_record_type", "'current_profile', 'historical_reference'"),
-    ("dim_players", "player_profile_completeness_status", "'complete', 'partial', 'limited'"),
-    ("dim_clubs", "club_record_type", "'current_profile', 'historical_reference'"),
-    ("dim_clubs", "club_profile_completeness_status", "'complete', 'partial', 'limited'"),
-    ("fct_match", "match_result", "'home_win', 'away_win', 'draw'"),
-    ("fct_player_match_performance", "hosting", "'home', 'away', 'unknown'"),
-    ("fct_player_match_performance", "club_result", "'win', 'draw', 'loss', 'unknown'"),
-    (_T, "fee_status", "'unknown', 'zero_fee', 'paid'"),
-    (_T, "market_value_baseline_source", "'transfer_record', 'latest_prior_valuation', 'unavailable'"),
-    (_T, "market_value_direction_after_transfer", "'increase', 'decrease', 'unchanged', 'unavailable'"),
-    ("fct_transfer_cohort_performance", "analytical_reliability", "'strong', 'directional', 'insufficient'"),
-    ("fct_data_coverage_bias", "coverage_bias_risk", "'acceptable', 'monitor', 'high_bias_risk', 'insufficient_sample'"),
-]
+
+
+def _rule(r) -> str:
+    """Violations of one declared rule."""
+    # The cleaned tables hold the rows of their sources.
+    t, c = r.table.replace("source.", "stg_"), "valuation_date" if r.column == "date" else r.column
+    if r.kind == "not_null":
+        return f"select count(*) from {t} where {c} is null"
+    if r.kind == "unique":
+        return f"select count(*) from (select {c} from {t} where {c} is not null group by 1 having count(*) > 1)"
+    if r.kind == "foreign_key":
+        return (f"select count(distinct {c}) from {t} where {c} is not null "
+                f"and {c} not in (select {r.parent_column} from {r.parent} where {r.parent_column} is not null)")
+    return f"select count(*) from {t} where {c} is not null and {c} not in ({', '.join(map(repr, r.accepted))})"
+
+
+def declared_rules(audit: str) -> str:
+    """All declared rules; ``audit`` is the statement of the audit rows."""
+    return " union all ".join(
+        f"select '{r.kind}' as kind, '{r.table}' as table_name, '{r.column}' as column_name, ({_rule(r)})::bigint as violations"
+        for r in rule_set.declared()).replace("fct_analytics_refresh_audit where", f"({audit}) where")
 
 
 def _apart(a: str, b: str) -> str:
@@ -265,8 +273,8 @@ SQL = {
         union all select 'net_transfer_spend', sum(net_transfer_spend)::double from fct_club_transfer_portfolio
         union all select 'reliable_club_success_rate', {exact_mean('case when meets_minimum_sample_size then transfer_success_rate_pct end')} from fct_club_risk_profile
         union all select 'rolling_5_goals_per_90', {exact_mean('rolling_5_goals_per_90', 4)} from fct_player_rolling_form""",
-    "check_accepted_values": _tally({
-        f"{t}.{c}": f"select count(*) from {t} where {c} is not null and {c} not in ({v})" for t, c, v in _ACCEPTED}),
+    "check_accepted_values": _tally({f"{r.table}.{r.column}": _rule(r) for r in rule_set.declared(rule_set.ACCEPTED)}),
+    "check_foreign_keys": _tally({f"{r.table}.{r.column}": _rule(r) for r in rule_set.declared(rule_set.KEY)}),
     "check_recomputed": _tally(RECOMPUTED),
     "check_reconciled": _tally(RECONCILED),
     "check_leakage": _tally(LEAKAGE),

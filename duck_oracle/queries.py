@@ -172,18 +172,6 @@ SQL = {
         "fct_club_risk_profile": _dup("fct_club_risk_profile", "club_id"),
         "stg_club_games": _dup("stg_club_games", "game_id", 2),
     }),
-    "check_foreign_keys": _tally({f"{c}.{k}": _orphan(c, k, p, q) for c, k, p, q in [
-        ("stg_appearances", "game_id", "stg_games", "game_id"), ("stg_games", "competition_id", "stg_competitions", "competition_id"),
-        ("stg_club_games", "game_id", "stg_games", "game_id"), ("stg_player_valuations", "player_id", "stg_players", "player_id"),
-        ("stg_transfers", "player_id", "stg_players", "player_id"), ("dim_players", "current_club_id", "dim_clubs", "club_id"),
-        ("dim_clubs", "domestic_competition_id", "dim_competitions", "competition_id"),
-        ("fct_club_performance", "club_id", "dim_clubs", "club_id"),
-        ("fct_competition_performance", "competition_id", "dim_competitions", "competition_id"),
-        ("fct_player_performance", "player_id", "dim_players", "player_id"),
-        ("fct_player_career_timeline", "competition_id", "dim_competitions", "competition_id"),
-        ("fct_player_career_timeline", "season_market_value_date", "dim_date", "date_day"),
-        ("fct_market_value_history", "valuation_date", "dim_date", "date_day"), ("fct_transfers", "transfer_date", "dim_date", "date_day"),
-        ("fct_transfers", "to_club_id", "dim_clubs", "club_id"), ("fct_transfers", "from_club_id", "dim_clubs", "club_id")]}),
     "check_nulls": " union all ".join(
         f"select '{t}' as table_name, '{c}' as column_name, count(*) filter ({c} is null) as violations from {t}"
         for t, cs in {

@@ -1,5 +1,6 @@
 """Operators against brute force on small fixtures."""
 
+import math
 import random
 from datetime import date, timedelta
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators import timeline
 from touchline.operators.compare import keyed_mismatches, symmetric_difference
-from touchline.operators.order_stats import Want, order_statistics
+from touchline.operators.order_stats import Want, order_statistics, sortable
 from touchline.operators.rolling import trailing_rows
 from touchline.operators.segments import unpivot
 
@@ -89,18 +90,50 @@ def test_trailing_rows_in_blocks_equal_one_window(spark, facts, block_rows):
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.select(*plain.columns).collect()))
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 50])
-def test_order_statistics(spark, accuracy):
+def test_order_statistics(spark):
     rng = np.random.default_rng(3)
-    groups = {"a": rng.integers(0, 500, 2000).astype(float), "b": rng.normal(size=37), "c": np.array([4.0])}
-    df = spark.createDataFrame([(g, float(x)) for g, xs in groups.items() for x in xs], "g string, x double")
-    wants = {"med": Want(0.5), "q9": Want(0.9), "hi": Want(0.9, "higher")}
-    for r in order_statistics(df, ["g"], "x", wants, accuracy).collect():
-        xs = groups[r.g]
-        assert r.n == len(xs)
-        assert r.med == pytest.approx(np.quantile(xs, 0.5))
-        assert r.q9 == pytest.approx(np.quantile(xs, 0.9))
-        assert r.hi == np.quantile(xs, 0.9, method="higher")
+    groups = {"a": rng.integers(0, 500, 2000).astype(float), "b": rng.normal(size=37), "c": np.array([4.0]),
+              "d": np.array([-0.0, 0.0, 5e-324, -5e-324, 1e308, -1e308, 1.0, np.nextafter(1, 2), np.nextafter(1, 0), 2.0 ** -1022, np.inf, -np.inf]),
+              None: rng.normal(size=90) * 10.0 ** rng.integers(-300, 300, 90)}
+    df = spark.createDataFrame([(g, float(x)) for g, xs in groups.items() for x in xs] + [("a", None), ("e", None)], "g string, x double")
+    wants = {"med": Want(0.5), "q9": Want(0.9), "hi": Want(0.9, "higher"), "least": Want(0.0, "discrete"), "low": Want(0.3, "discrete"),
+             "all": Want(1.0), "sure": Want(0.9, "conformal")}
+    got = order_statistics(df, ["g"], "x", wants).collect()
+    assert {r.g for r in got} == set(groups)
+    for r in got:
+        xs = np.sort(groups[r.g])
+        n = len(xs)
+        assert r.n == n and r.hi == xs[math.ceil(0.9 * (n - 1))] and r.all == xs[-1] and r.least == xs[0]
+        assert r.low == xs[max(math.ceil(0.3 * n), 1) - 1]
+        assert r.sure == (xs[math.ceil((n + 1) * 0.9) - 1] if math.ceil((n + 1) * 0.9) <= n else None)
+        if r.g != "d":
+            assert r.med == pytest.approx(np.quantile(xs, 0.5), rel=1e-12) and r.q9 == pytest.approx(np.quantile(xs, 0.9), rel=1e-12)
+    assert [r.med for r in order_statistics(df.where("g = 'c'"), [], "x", {"med": Want(0.5)}).collect()] == [4.0]
+    assert order_statistics(df.where("x is null"), [], "x", {"med": Want(0.5)}).count() == 0
+
+
+def test_order_of_doubles_is_kept(spark):
+    rng = np.random.default_rng(8)
+    bits = rng.integers(-(1 << 63), 1 << 63, 4000)
+    xs = bits.view(np.float64)
+    powers = [2.0 ** e for e in range(-1074, 1024)]
+    xs = np.concatenate([xs[np.isfinite(xs)], powers, np.nextafter(powers, 0), np.nextafter(powers, np.inf), [np.inf, -np.inf, 0.0]])
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double").select("x", sortable(F.col("x")).alias("k"))
+    rows = sorted(set(map(tuple, df.collect())))
+    assert all(k < m for (_, k), (_, m) in zip(rows, rows[1:], strict=False))
+    assert all(k == np.float64(x).view(np.int64) for x, k in rows if x > 0)
+    assert spark.sql("select double('nan') x").select(sortable(F.col("x")).alias("k")).first().k > rows[-1][1]
+
+
+@pytest.mark.parametrize("values", ["pmod(id * 7919, 5)", "pmod(id * 7919, 1000003) / 7"])
+def test_order_statistics_of_a_large_group(spark, values):
+    n = 1_000_000
+    df = spark.range(n).selectExpr("1 as g", f"double({values}) as x")
+    plan = (stats := order_statistics(df, ["g"], "x", {"q": Want(0.25, "discrete"), "med": Want(0.5)}))._jdf.queryExecution().executedPlan().toString()
+    ids = np.arange(n, dtype=np.int64) * 7919
+    xs = np.sort(ids % 5.0 if values.endswith("5)") else (ids % 1000003) / 7)
+    assert tuple(stats.first()) == (1, n, xs[n // 4 - 1], pytest.approx(np.quantile(xs, 0.5), rel=1e-12))
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_differences(spark):

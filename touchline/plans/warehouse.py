@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import date
-from typing import Callable, Mapping
+from typing import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.plans import dims, features, governance, intermediate, match, staging, transfers
+from touchline.session import stored
 from touchline.sources import sinks
 
 # Tables stored by year of a date column, and sorted within files.
@@ -29,6 +30,13 @@ SORTED = {
     "ml_player_market_value_scoring": ["position", "competition_id"],
 }
 
+# Tables that several others and most reports are built on.
+SHARED = frozenset({
+    "stg_players", "stg_games", "stg_club_games", "stg_appearances", "stg_transfers", "stg_player_valuations", "dim_players", "dim_clubs",
+    "fct_transfer_market_value_analysis", "fct_transfer_fixed_horizon_outcomes", "fct_player_match_performance",
+    "int_player_season_performance",
+})
+
 _PREFIXES = ("stg_", "int_", "dim_", "fct_", "ml_", "time_spine_")
 
 
@@ -47,19 +55,21 @@ MODELS = _models()
 class Warehouse:
     """Memoised frames by name: ``wh["fct_match"]``.
 
-    Nothing runs until an action.  ``store(name)`` writes a table once and
-    serves later reads from the files, which is how a fact used by several
-    reports is shared between jobs.
+    Nothing runs until an action, but for tables named in ``shared``: their first use writes
+    them to the session's shared folder, and all plans of this warehouse start at the files.
+    ``store(name)`` writes a table to ``location`` and serves later reads from there, which is
+    how a fact used by several reports is shared between jobs.
     """
 
     def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], as_of: date,
-                 location: str | None = None):
-        self.spark, self.raw, self.as_of, self.location = spark, raw, as_of, location
+                 location: str | None = None, shared: Collection[str] = ()):
+        self.spark, self.raw, self.as_of, self.location, self.shared = spark, raw, as_of, location, shared
         self._made: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = MODELS[name](self)
+            made = MODELS[name](self)
+            self._made[name] = stored(made, name) if name in self.shared else made
         return self._made[name]
 
     def __contains__(self, name: str) -> bool:

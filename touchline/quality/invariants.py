@@ -43,57 +43,6 @@ def grains(wh) -> Frames:
     return out
 
 
-# child table, child column, parent table, parent column
-FOREIGN_KEYS = [
-    ("stg_appearances", "game_id", "stg_games", "game_id"),
-    ("stg_games", "competition_id", "stg_competitions", "competition_id"),
-    ("stg_club_games", "game_id", "stg_games", "game_id"),
-    ("stg_player_valuations", "player_id", "stg_players", "player_id"),
-    ("stg_transfers", "player_id", "stg_players", "player_id"),
-    ("dim_players", "current_club_id", "dim_clubs", "club_id"),
-    ("dim_clubs", "domestic_competition_id", "dim_competitions", "competition_id"),
-    ("fct_club_performance", "club_id", "dim_clubs", "club_id"),
-    ("fct_competition_performance", "competition_id", "dim_competitions", "competition_id"),
-    ("fct_player_performance", "player_id", "dim_players", "player_id"),
-    ("fct_player_career_timeline", "competition_id", "dim_competitions", "competition_id"),
-    ("fct_player_career_timeline", "season_market_value_date", "dim_date", "date_day"),
-    ("fct_market_value_history", "valuation_date", "dim_date", "date_day"),
-    ("fct_transfers", "transfer_date", "dim_date", "date_day"),
-    ("fct_transfers", "to_club_id", "dim_clubs", "club_id"),
-    ("fct_transfers", "from_club_id", "dim_clubs", "club_id"),
-]
-
-
-def foreign_keys(wh) -> Frames:
-    return {
-        f"{child}.{column}": checks.orphans(wh[child], column, wh[parent], other)
-        for child, column, parent, other in FOREIGN_KEYS
-    }
-
-
-ACCEPTED = {
-    ("dim_players", "player_record_type"): ["current_profile", "historical_reference"],
-    ("dim_players", "player_profile_completeness_status"): ["complete", "partial", "limited"],
-    ("dim_clubs", "club_record_type"): ["current_profile", "historical_reference"],
-    ("dim_clubs", "club_profile_completeness_status"): ["complete", "partial", "limited"],
-    ("fct_match", "match_result"): ["home_win", "away_win", "draw"],
-    ("fct_player_match_performance", "hosting"): ["home", "away", "unknown"],
-    ("fct_player_match_performance", "club_result"): ["win", "draw", "loss", "unknown"],
-    ("fct_transfer_market_value_analysis", "fee_status"): ["unknown", "zero_fee", "paid"],
-    ("fct_transfer_market_value_analysis", "market_value_baseline_source"):
-        ["transfer_record", "latest_prior_valuation", "unavailable"],
-    ("fct_transfer_market_value_analysis", "market_value_direction_after_transfer"):
-        ["increase", "decrease", "unchanged", "unavailable"],
-    ("fct_transfer_cohort_performance", "analytical_reliability"): ["strong", "directional", "insufficient"],
-    ("fct_data_coverage_bias", "coverage_bias_risk"):
-        ["acceptable", "monitor", "high_bias_risk", "insufficient_sample"],
-}
-
-
-def accepted_values(wh) -> Frames:
-    return {f"{t}.{c}": checks.unexpected(wh[t], c, values) for (t, c), values in ACCEPTED.items()}
-
-
 def recomputed(wh) -> Frames:
     """Summaries rebuilt by another route and compared key by key."""
     games = wh["stg_club_games"]

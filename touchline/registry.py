@@ -14,8 +14,8 @@ from touchline.ml import blend, bootstrap, drift, gates, importance, intervals,
 from touchline.ml.contract import CATEGORICAL, NUMERIC, TARGET
 from touchline.ml.forecast import BoostedTrees, PositionMedian
 from touchline.plans import analyses, audit, metrics
-from touchline.plans.warehouse import MODELS, Warehouse
-from touchline.quality import checks, invariants, profile, rules
+from touchline.plans.warehouse import MODELS, SHARED, Warehouse
+from touchline.quality import checks, invariants, profile, rule_set, rules
 from touchline.sources import raw
 from touchline.sources.driver_tables import DriverTables
 from touchline.streaming import history
@@ -37,7 +37,7 @@ _WAREHOUSES: WeakKeyDictionary = WeakKeyDictionary()
 def warehouse(spark: SparkSession, root: str, as_of: date = AS_OF) -> Warehouse:
     made = _WAREHOUSES.setdefault(spark, {})
     if (root, as_of) not in made:
-        made[root, as_of] = Warehouse(spark, DriverTables(spark, root), as_of)
+        made[root, as_of] = Warehouse(spark, DriverTables(spark, root), as_of, shared=SHARED)
     return made[root, as_of]
 
 
@@ -251,6 +251,22 @@ def refresh_audit(spark: SparkSession, root: str) -> DataFrame:
     return rows[0].unionByName(rows[1])
 
 
+def _declared_rules(*kinds: str) -> Query:
+    """Violations of the declared column rules; of one kind under the names (table.column)."""
+    def build(spark: SparkSession, root: str) -> DataFrame:
+        wh = warehouse(spark, root)
+
+        def frame(name: str) -> DataFrame:
+            if name == "fct_analytics_refresh_audit":
+                return refresh_audit(spark, root)
+            return wh.raw[name.removeprefix("source.")] if name.startswith("source.") else wh[name]
+
+        found = rule_set.violations(spark, frame, rule_set.declared(*kinds))
+        return plain(found.select(F.concat_ws(".", "table_name", "column_name").alias("check_name"), "violations") if kinds else found)
+
+    return build
+
+
 def _audit_query(spark: SparkSession, root: str) -> DataFrame:
     return plain(refresh_audit(spark, root).drop("audit_generated_at_utc"))
 
@@ -328,8 +344,9 @@ def queries() -> dict[str, Query]:
         "report_competition_labels": _on(metrics.report_columns_competitions),
         "check_nulls": _on(invariants.nulls),
         "check_grains": _on(lambda wh: checks.tally(invariants.grains(wh))),
-        "check_foreign_keys": _on(lambda wh: checks.tally(invariants.foreign_keys(wh))),
-        "check_accepted_values": _on(lambda wh: checks.tally(invariants.accepted_values(wh))),
+        "check_declared_rules": _declared_rules(),
+        "check_foreign_keys": _declared_rules(rule_set.KEY),
+        "check_accepted_values": _declared_rules(rule_set.ACCEPTED),
         "check_recomputed": _on(lambda wh: checks.tally(invariants.recomputed(wh))),
         "check_reconciled": _on(lambda wh: checks.tally(invariants.reconciled(wh))),
         "check_row_rules": _on(lambda wh: checks.tally(invariants.row_rules(wh))),
