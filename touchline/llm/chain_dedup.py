@@ -1,16 +1,18 @@
 """Fuzzy repeated passages by collinear chaining of shared word seeds.
 
-1. *Seeds.*  The hash of every eight-word k-mer.  Those held by one document only are dropped.
+1. *Seeds.*  One in four eight-word k-mers, chosen by its hash alone, so that both texts of a fuzzy
+   passage choose the same ones; and the least of any eleven in a row without one.  Seeds held by
+   one document only are dropped.
 2. *Join.*  Every seed is joined to its first holder (smallest doc_id, then position).  Each later
    occurrence makes one match, so a seed of a third of all documents makes no pairs among them;
    the join key is left to Spark to split.
 3. *Runs.*  Seeds of one passage may have first holders in different places.  So runs of seeds are
-   joined to the first holder of the run too: every ``MIN_WORDS`` words whose seeds don't lie in
-   one place of one holder, and pairs of seeds, one in ``NEAR`` and one in ``FAR`` words, whose
+   joined to the first holder of the run too: the ``MIN_WORDS`` words from a seed on, where their
+   seeds don't lie in one place of one holder, and pairs of seeds, one in ``NEAR`` and one in ``FAR`` words, whose
    holders lie apart.  Whether a run is asked for depends on its seeds alone, so that both sides
-   ask for the same ones.  Equal passages of ``MIN_WORDS`` words are therefore always found.
+   ask for the same ones.  Equal passages of ``MIN_WORDS`` + ten words are therefore always found.
 4. *Chains.*  The matches of a document with one earlier document are chained in order of both
-   positions; of matches that follow each other word by word, every eighth and the last are kept.
+   positions; of matches in one line one in eight words and the last are kept.
    A chain scores eight a seed less a cost for the words it skips on both sides; the best
    predecessor comes from a Fenwick tree of prefix maxima.  A chain is cut where it skips more
    than ``MAX_GAP`` words.
@@ -39,6 +41,8 @@ from . import text as T
 from .staging import Staging
 
 K = 8
+#: One in so many k-mers is a seed by its hash alone; so many k-mers in a row have at least one.
+RATE, WINDOW = 4, 11
 MIN_WORDS, IDENTITY = 40, 0.75
 GAP_COST, MAX_GAP = 0.05, 100
 #: Distances of the second seed of a pair, ends included.
@@ -49,16 +53,41 @@ MARGIN = MAX_GAP
 UNEQUAL, DROP = 3, 20
 
 
+def sampled(h: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Which k-mers are seeds: one in ``RATE`` by hash, and the least of ``WINDOW`` in a row of one text without any."""
+    pick = h % np.uint64(RATE) == 0
+    n = len(h) - WINDOW + 1
+    if n > 0:
+        count = np.concatenate([[0], np.cumsum(pick)])
+        bare = np.flatnonzero((count[WINDOW:] == count[:n]) & (text[WINDOW - 1 :] == text[:n]))
+        pick[bare + h[bare[:, None] + np.arange(WINDOW)].argmin(axis=1)] = True
+    return pick
+
+
 def seeds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The sampled k-mers of each text, with the hash of the ``MIN_WORDS`` words from there on (0: text ends before)."""
     for frame in frames:
         raw, ids = T.encode(frame["text"]), frame["doc_id"].to_numpy()
         for a, b in T.batches(raw):
             words = T.Words(raw[a:b])
             at, h = words.grams(K)
-            text = words.text[at]
+            # k-mers of one text are a row of words: k-mer i + d of the same text is d words on
+            of = words.text[at]
+            pick = np.flatnonzero(sampled(h, of))
+            text, end = of[pick], pick + MIN_WORDS - K
+            long = np.flatnonzero(end < len(at))
+            long = long[of[end[long]] == text[long]]
+            run = np.zeros(len(pick), np.uint64)
+            for k in range(0, MIN_WORDS - K + 1, K):
+                run[long] += h[pick[long] + k] * T.WORD_FACTORS[k]
+            run[long] = T.mix(run[long])
+            seed = h[pick]
+            order = np.lexsort((seed, text))
+            lead = np.ones(len(pick), bool)
+            lead[order[1:]] = (seed[order[1:]] != seed[order[:-1]]) | (text[order[1:]] != text[order[:-1]])
             copy = np.array([zlib.crc32(x) for x in raw[a:b]], np.uint32).view(np.int32)
-            yield pd.DataFrame({"seed": h.view(np.int64), "doc_id": ids[a:b][text], "copy": copy[text],
-                                "pos": (at - words.first[text]).astype(np.int32)})
+            yield pd.DataFrame({"seed": seed.view(np.int64), "run": run.view(np.int64), "doc_id": ids[a:b][text], "copy": copy[text],
+                                "pos": (at[pick] - words.first[text]).astype(np.int32), "lead": lead})
 
 
 def whole(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -85,21 +114,17 @@ def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for g in whole(frames, ["doc_id", "copy"]):
         g = g.drop_duplicates(["doc_id", "copy", "pos"])  # the same text twice
         doc, copy, x = (g[c].to_numpy() for c in ("doc_id", "copy", "pos"))
-        src, y, seed = g["src"].to_numpy(), g["src_pos"].to_numpy().astype(np.int64), g["seed"].to_numpy().view(np.uint64)
+        src, y = g["src"].to_numpy(), g["src_pos"].to_numpy().astype(np.int64)
+        seed, run = (g[c].to_numpy().view(np.uint64) for c in ("seed", "run"))
         n = len(g)
         turn = (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1])
         text = np.concatenate([[0], np.cumsum(turn)])
         place = text * (1 << 32) + x
         apart = np.concatenate([[0], np.cumsum((src[1:] != src[:-1]) | (np.diff(y) != np.diff(x)))])
-        out = []
 
-        i = np.arange(max(n - (MIN_WORDS - K), 0))
-        j = i + MIN_WORDS - K
-        i = i[(place[j] - place[i] == MIN_WORDS - K) & (apart[j] > apart[i])]
-        h = np.full(len(i), MIN_WORDS, np.uint64)
-        for k in range(0, MIN_WORDS - K + 1, K):
-            h += seed[i + k] * T.WORD_FACTORS[k]
-        out.append((i, i + MIN_WORDS - K, T.mix(h)))
+        last = np.searchsorted(place, place + MIN_WORDS - K, "right") - 1
+        i = np.flatnonzero((run != 0) & (apart[last] > apart))
+        ends = [(i, x[i] + MIN_WORDS - K, run[i])]
 
         for salt, (lo, hi) in enumerate((NEAR, FAR), 1):
             begin, end = np.searchsorted(place, place + lo), np.searchsorted(place, place + hi, "right")
@@ -114,9 +139,9 @@ def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             far = y[j] - y[i]
             keep = (src[i] != src[j]) | (far <= 0) | (far > MAX_GAP)
             i, j = i[keep], j[keep]
-            out.append((i, j, T.mix(seed[i] * T.WORD_FACTORS[1] + seed[j] * T.WORD_FACTORS[2] + np.uint64(salt))))
-        i, j, h = (np.concatenate(c) for c in zip(*out, strict=True))
-        yield pd.DataFrame({"run": h.view(np.int64), "doc_id": doc[i], "pos": x[i], "span": x[j] - x[i]})
+            ends.append((i, x[j], T.mix(seed[i] * T.WORD_FACTORS[1] + seed[j] * T.WORD_FACTORS[2] + np.uint64(salt))))
+        i, end, h = (np.concatenate(c) for c in zip(*ends, strict=True))
+        yield pd.DataFrame({"run": h.view(np.int64), "doc_id": doc[i], "pos": x[i], "span": (end - x[i]).astype(np.int32)})
 
 
 class Fenwick:
@@ -173,19 +198,19 @@ def chains(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
 
 
 def thinned(g: pd.DataFrame) -> pd.DataFrame:
-    """Of the matches of a (doc_id, src) that follow each other word by word, every eighth and the last."""
+    """Of the matches of a (doc_id, src) in one line, at most 2K words apart, one in K words and the last."""
     doc, src, x, y = (g[c].to_numpy() for c in ("doc_id", "src", "pos", "src_pos"))
     diagonal = x.astype(np.int64) - y
     order = np.lexsort((x, diagonal, src, doc))
     d, s, e, p = doc[order], src[order], diagonal[order], x[order]
     same = (d[1:] == d[:-1]) & (s[1:] == s[:-1]) & (e[1:] == e[:-1])
-    opens = np.concatenate([[True], ~same | (np.diff(p) > 1)])
-    again = np.concatenate([[False], same & (np.diff(p) == 0)])
+    fresh = np.concatenate([[True], ~(same & (np.diff(p) == 0))])
+    order, d, s, e, p = (c[fresh] for c in (order, d, s, e, p))
+    same = (d[1:] == d[:-1]) & (s[1:] == s[:-1]) & (e[1:] == e[:-1])
+    opens = np.concatenate([[True], ~same | (np.diff(p) > 2 * K)])
     first = p[np.flatnonzero(opens)][np.cumsum(opens) - 1]
-    last = np.concatenate([opens[1:], [True]])
-    keep = (((p - first) % K == 0) & ~again) | last
-    # the last of a run may come twice
-    keep &= ~(again & last & ((p - first) % K == 0))
+    place = (p - first) // K
+    keep = opens | np.concatenate([[True], place[1:] != place[:-1]]) | np.concatenate([opens[1:], [True]])
     return g.iloc[np.sort(order[keep])]
 
 
@@ -279,11 +304,12 @@ def fuzzy_passages(docs: DataFrame) -> DataFrame:
     staging = Staging(spark, "chains")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    found = docs.mapInPandas(seeds, "seed long, doc_id long, copy int, pos int")
-    first = (found.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.max("doc_id").alias("m"))
-             .where("f.doc_id < m").select("seed", F.col("f.doc_id").alias("src"), F.col("f.pos").alias("src_pos")))
+    found = docs.mapInPandas(seeds, "seed long, run long, doc_id long, copy int, pos int, lead boolean")
+    # plain numbers only, so that equal seeds of a task are joined by hash before they are sent
+    first = (found.where("lead").groupBy("seed").agg(F.min("doc_id").alias("src"), F.min_by("pos", "doc_id").alias("src_pos"),
+                                                     F.max("doc_id").alias("m")).where("src < m").drop("m"))
     first = staging.put("first", first)  # the join can then split a hot seed
-    held = staging.put("held", found.join(first, "seed"))
+    held = staging.put("held", found.drop("lead").join(first, "seed"))
     staging.release()
     asked = (held.repartition(n, "doc_id", "copy").sortWithinPartitions("doc_id", "copy", "pos")
              .mapInPandas(runs, "run long, doc_id long, pos int, span int"))
