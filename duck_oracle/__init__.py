@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import re
 
-from duck_oracle import facts, proofs, queries, raw, releases, reports, summaries
+from duck_oracle import facts, models, proofs, queries, raw, releases, reports, summaries
 from duck_oracle.common import AS_OF
 
 PARTS: dict[str, str] = {
-    **raw.PARTS, **summaries.PARTS, **facts.PARTS, **reports.PARTS,
+    **raw.PARTS, **summaries.PARTS, **facts.PARTS, **reports.PARTS, **models.PARTS,
 }
 
 _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
@@ -60,7 +60,7 @@ def statements() -> dict[str, str]:
     out = {name: table(name) for name in MODELS if name in PARTS}
     for name in ("fct_transfer_fixed_horizon_outcomes", "fct_transfer_cohort_performance"):
         out[name + "_midway"] = at(queries.MIDWAY, out[name])
-    both = queries.SQL | proofs.SQL | releases.SQL
+    both = queries.SQL | proofs.SQL | releases.SQL | models.SQL
     out.update({name: compose(sql) for name, sql in both.items() if not sql.lstrip().startswith("with")})
     for name, sql in both.items():
         if sql.lstrip().startswith("with"):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 from typing import Callable
 from weakref import WeakKeyDictionary
@@ -16,7 +17,7 @@ from touchline.ml.forecast import BoostedTrees, PositionMedian
 from touchline.plans import analyses, audit, metrics
 from touchline.plans.warehouse import MODELS, SHARED, Warehouse
 from touchline.quality import checks, invariants, profile, rule_set, rules
-from touchline.sources import raw
+from touchline.sources import raw, sinks
 from touchline.sources.driver_tables import DriverTables
 from touchline.streaming import history
 
@@ -142,13 +143,50 @@ def _release_gates(wh: Warehouse) -> DataFrame:
     measured = model_metrics(wh)
     ensemble = measured.where("model = 'ensemble_model'")
     baseline = measured.where("model = 'previous_value_baseline'")
-    # The persistence baseline stands in for the champion of an earlier release.
-    champion = baseline.select(F.col("mae_eur").alias("test_mae_eur"), F.lit("previous_value").alias("model_version"))
     return gates.quality_gates(
-        ensemble, baseline, evaluation_metrics(wh), RUN_NAME, RUN_AT, champion,
+        ensemble, baseline, evaluation_metrics(wh), RUN_NAME, RUN_AT, champion(wh),
         current_predictions(wh), feature_drift(wh)).drop("model_generated_at_utc", "details")
 
 
+def past_releases(wh: Warehouse) -> DataFrame:
+    """Registry rows before this run: the persistence baseline, approved, and the bare model, rejected later."""
+    rows = {"previous_value_baseline": ("previous_value", "approved", datetime(2000, 1, 1)),
+            "ml_only_model": ("bare_median", "rejected", datetime(2001, 1, 1))}
+    pick = F.create_map(*[F.lit(x) for k, (name, _, _) in rows.items() for x in (k, name)])
+    state = F.create_map(*[F.lit(x) for k, (_, status, _) in rows.items() for x in (k, status)])
+    made = F.create_map(*[F.lit(x) for k, (_, _, when) in rows.items() for x in (k, when)])
+    return model_metrics(wh).where(F.col("model").isin(*rows)).select(
+        F.try_element_at(pick, "model").alias("model_version"), F.try_element_at(state, "model").alias("release_status"),
+        F.try_element_at(made, "model").cast("timestamp").alias("model_generated_at_utc"), F.col("mae_eur").alias("test_mae_eur"))
+
+
+def champion(wh: Warehouse) -> DataFrame:
+    """Newest approved release before this run."""
+    return raw.latest_approved(past_releases(wh)).select("model_version", "test_mae_eur")
+
+
+def _file(wh: Warehouse, name: str) -> str:
+    return f"{session.shared_folder(wh.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def export_summary(wh: Warehouse) -> DataFrame:
+    """Summary of a hold-out export, read back from its CSV files with the declared types."""
+    def build() -> DataFrame:
+        sinks.export_csv(hold_out(wh), path := _file(wh, "hold_out.csv"))
+        return scores.evaluation_summary(raw.read_csv(wh.spark, path, hold_out(wh).schema))
+
+    return _kept(wh, "export_summary", build)
+
+
+def export_gates(wh: Warehouse) -> DataFrame:
+    """Release gates read back from their JSON artifact."""
+    def build() -> DataFrame:
+        sinks.export_json(release_gates(wh), path := _file(wh, "gates.json"))
+        return wh.spark.read.schema(release_gates(wh).schema).json(path)
+
+    return _kept(wh, "export_gates", build)
+
+
 def conformal_radius(wh: Warehouse) -> DataFrame:
     run = median_run(wh)
     fit = run.times.fit_rows(run.frame)
@@ -325,6 +363,9 @@ def queries() -> dict[str, Query]:
                 "average_365d_market_value_change_pct", "average_transfer_fee_premium_pct"]
     out.update({
         "scan_training_features": _on(_scan_query),
+        "scan_highest_targets": _on(lambda wh: raw.scan(
+            features_of(wh, "training"), ["training_row_key", "player_id", "season", TARGET],
+            order=[F.desc(TARGET), "training_row_key"], limit=100)),
         "metrics_governed_transfers": _on(lambda wh: metrics.metric(wh, governed, ["position", "age_band_at_transfer"])),
         "metrics_governed_clubs": _on(lambda wh: metrics.metric(wh, ["club_matches", "club_points"], ["season"])),
         "metrics_transfers_by_year": _on(_all_metrics("fct_transfer_market_value_analysis", ["transfer_year"])),
@@ -391,6 +432,9 @@ def queries() -> dict[str, Query]:
         "model_drift": _on(feature_drift),
         "model_release_gates": _on(release_gates),
         "model_release_status": _on(lambda wh: gates.release_status(release_gates(wh))),
+        "model_champion": _on(champion),
+        "model_export_summary": _on(export_summary),
+        "model_export_gates": _on(export_gates),
         "model_registry_row": _on(registry_row),
         "model_bootstrap": _on(lambda wh: bootstrap.mae_skill_bootstrap(hold_out(wh))),
         "model_walk_forward": _on(lambda wh: walk_forward.walk_forward(features_of(wh, "training"), PositionMedian())),
