@@ -1,5 +1,7 @@
 """DuckDB statements of the model chain: the position-median run, its scores, reports and gates."""
 
+from duck_oracle.common import AS_OF, exact_mean
+
 _T = "ml_player_market_value_training"
 VERSION = "position_median_run"
 HOLD_OUT = ["training_row_key", "player_id", "player_name", "season", "competition_id", "target_market_value_date",
@@ -226,7 +228,55 @@ _SUMMARY = " union all ".join(
     for g, e in {"season": "season", "position": "position", "prediction_quality_status": "prediction_quality_status",
                  "actual_value_band": f"({band('target_market_value_eur')})"}.items())
 
+_READY = "prediction_quality_status in ('high', 'medium')"
+_DELTA = "prediction_delta_vs_previous_pct"
+
+
+def _players(cond: str = "true") -> str:
+    return f"count(distinct player_id) filter ({cond})"
+
+
+def _violations(source: str, rules: dict[str, str]) -> str:
+    return " union all ".join(f"select '{n}' as rule, ({r})::bigint as violations from {source}" for n, r in rules.items())
+
+
+_KEYS = {"blank_keys": "count(*) filter (training_row_key is null or trim(training_row_key) = '')",
+         "repeated_keys": "count(training_row_key) - count(distinct training_row_key)"}
+_NUMBERS = ["target_market_value_eur", "predicted_market_value_eur", "baseline_prediction_eur", "prediction_lower_eur", "prediction_upper_eur"]
+
+
+def _odd(names: list[str]) -> str:
+    return " or ".join(f"{c} is null or not isfinite({c}::double)" for c in names)
+
+
 SQL = {
+    "metrics_predictions": f"""
+        select *, average_prediction_interval / nullif(average_predicted_market_value, 0) as average_relative_prediction_interval,
+            1 - coalesce(average_prediction_interval / nullif(average_predicted_market_value, 0), 0) as average_prediction_confidence from (
+            select position, {_players()} as scored_player_count, {_players(_READY)} as decision_ready_player_count,
+                coalesce({_players(_READY)}::double / nullif({_players()}, 0), 0) as decision_ready_rate, avg(predicted_market_value_eur) as average_predicted_market_value,
+                avg(previous_market_value_eur) as average_previous_market_value, {exact_mean(_DELTA)} / 100 as average_prediction_upside,
+                {_players(f'{_DELTA} > 0')} as positive_upside_player_count, coalesce({_players(f'{_DELTA} > 0')}::double / nullif({_players()}, 0), 0) as positive_upside_rate,
+                {_players(f'{_DELTA} > 20')} as high_upside_player_count, {_players(f'{_READY} and {_DELTA} > 0')} as high_upside_decision_ready_count,
+                avg(prediction_interval_eur) as average_prediction_interval from m_current group by 1)""",
+    "metrics_predictions_selected": f"""
+        select player_id, avg(previous_market_value_eur) as selected_player_previous_value, avg(predicted_market_value_eur) as selected_player_prediction_value,
+            {exact_mean(_DELTA)} / 100 as selected_player_prediction_change from m_current group by 1""",
+    "metrics_audit_label": f"""
+        select case when date_diff('day', {AS_OF}, DATE '2002-06-01') > 90 then 'HISTORICAL / ' else 'QUALITY AUDIT / ' end
+            || upper(strftime({AS_OF}, '%d %b %Y')) as audit_label""",
+    "model_prediction_violations": _violations("m_hold_out", _KEYS | {
+        "invalid_prediction": f"count(*) filter ({_odd(['predicted_market_value_eur'])} or predicted_market_value_eur < 0)",
+        "invalid_interval": f"""count(*) filter ({_odd(['prediction_interval_eur', 'prediction_lower_eur', 'prediction_upper_eur'])} or prediction_interval_eur <= 0
+            or prediction_interval_band is null or prediction_lower_eur < 0 or prediction_lower_eur > predicted_market_value_eur or prediction_upper_eur < predicted_market_value_eur)"""}),
+    "model_evaluation_violations": _violations("m_hold_out", {"empty_frame": "case when count(*) = 0 then 1 else 0 end"} | _KEYS | {
+        "missing_player_or_season": "count(*) filter (player_id is null or season is null)",
+        "missing_version": "count(*) filter (model_version is null or trim(model_version) = '')",
+        "not_finite": f"count(*) filter ({_odd([*_NUMBERS, 'season'])})",
+        "bad_sign": f"count(*) filter (target_market_value_eur <= 0 or {' or '.join(f'{c} < 0' for c in _NUMBERS[1:])})",
+        "outside_interval": "count(*) filter (prediction_lower_eur > predicted_market_value_eur or predicted_market_value_eur > prediction_upper_eur)",
+        "fractional_season": "count(*) filter (season <> floor(season))",
+        "several_versions": "count(distinct model_version) - 1"}),
     "model_blend_weights": "select * from m_weights",
     "model_interval_widths": "select * from m_widths",
     "model_hold_out": "select * from m_hold_out",
