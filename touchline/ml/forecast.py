@@ -4,19 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.ml import leafwise
 from touchline.ml.blend import ML
 from touchline.ml.contract import CATEGORICAL, NUMERIC, TARGET
 from touchline.operators.order_stats import Want, order_statistics
 from touchline.operators.small import pinned
-
-# Positions are a short code list.
-MAX_POSITIONS = 10_000
+from touchline.session import stored
 
 
 class PositionMedian:
@@ -27,7 +24,7 @@ class PositionMedian:
         by_position = order_statistics(df.where(F.col("position").isNotNull()), ["position"], TARGET, half)
         overall = order_statistics(df, [], TARGET, half)
         return PositionMedianModel(
-            pinned(by_position.select("position", F.col("median").alias("_own")), MAX_POSITIONS),
+            stored(by_position.select("position", F.col("median").alias("_own")), "position_medians"),
             pinned(overall.select(F.col("median").alias("_all")), 1))
 
 
@@ -44,35 +41,26 @@ class PositionMedianModel:
 
 @dataclass
 class BoostedTrees:
-    """Gradient-boosted trees on imputed numbers, missing flags and ordinals."""
+    """Leaf-wise boosted trees on imputed numbers, missing flags and ordinals."""
 
     numeric: list[str] = field(default_factory=lambda: list(NUMERIC))
     categorical: list[str] = field(default_factory=lambda: list(CATEGORICAL))
-    rounds: int = 300
-    rate: float = 0.07
-    depth: int = 5
-    min_rows: int = 30
-    bins: int = 64
-    seed: int = 42
+    growth: leafwise.Growth = leafwise.Growth()
+    key: str = "training_row_key"
 
     def fit(self, df: DataFrame) -> "BoostedTreesModel":
         # One value per feature reaches the driver.
-        fills = df.agg(
-            *[F.percentile_approx(F.col(c).cast("double"), 0.5, 100_000).alias(c) for c in self.numeric],
-            *[F.mode(F.col(c).cast("string"), True).alias(c) for c in self.categorical]).first().asDict()
+        pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in self.numeric])
+        middle = order_statistics(df.select(F.explode(pairs).alias("p")).select("p.*"), ["feature"], "value", {"median": Want(0.5)})
+        fills = dict.fromkeys(self.numeric) | {r["feature"]: r["median"] for r in middle.collect()}
+        fills |= df.agg(*[F.mode(F.col(c).cast("string"), True).alias(c) for c in self.categorical]).first().asDict()
         prepared = self._prepare(df, fills)
         codes = [c + "_code" for c in self.categorical]
         index = StringIndexer(inputCols=[c + "_text" for c in self.categorical], outputCols=codes,
                               handleInvalid="keep", stringOrderType="alphabetAsc").fit(prepared)
         inputs = [c + "_num" for c in self.numeric] + [c + "_gap" for c in self.numeric] + [c + "_ord" for c in self.categorical]
-        ready = self._ordinals(index.transform(prepared))
-        model = Pipeline(stages=[
-            VectorAssembler(inputCols=inputs, outputCol="_x"),
-            GBTRegressor(featuresCol="_x", labelCol="_y", predictionCol="_p", maxIter=self.rounds,
-                         stepSize=self.rate, maxDepth=self.depth, minInstancesPerNode=self.min_rows,
-                         maxBins=self.bins, seed=self.seed),
-        ]).fit(ready.withColumn("_y", F.col(TARGET).cast("double")))
-        return BoostedTreesModel(self, fills, index, model)
+        ready = stored(self._ordinals(index.transform(prepared)).select(*inputs, F.col(TARGET).cast("double").alias("_target"), self.key), "boosting_rows")
+        return BoostedTreesModel(self, fills, index, leafwise.fit(ready, inputs, "_target", self.key, self.growth))
 
     def _prepare(self, df: DataFrame, fills: dict) -> DataFrame:
         numeric = {}
@@ -93,8 +81,8 @@ class BoostedTreesModel:
     spec: BoostedTrees
     fills: dict
     index: object
-    model: PipelineModel
+    model: leafwise.Forest
 
     def predict(self, df: DataFrame) -> DataFrame:
         ready = self.spec._ordinals(self.index.transform(self.spec._prepare(df, self.fills)))
-        return self.model.transform(ready).select(*df.columns, F.greatest(F.col("_p"), F.lit(0.0)).alias(ML))
+        return self.model.predict(ready, "_p").select(*df.columns, F.greatest(F.col("_p"), F.lit(0.0)).alias(ML))
