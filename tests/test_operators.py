@@ -143,6 +143,40 @@ def test_differences(spark):
     assert [r.k for r in keyed_mismatches(a.distinct(), b, ["k"], ["v"]).collect()] == [3]
 
 
+def test_reconciliation_finds_planted_rows(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["x", "y", None]), float(rng.randint(0, 5)), i % 7) for i in range(3000)]
+    left = spark.createDataFrame(rows, "k long, v string, d double, n int").repartition(5)
+    right = spark.createDataFrame(rows[::-1], "k long, v string, d double, n long").repartition(3)
+    assert symmetric_difference(left, right).count() == 0
+    assert keyed_mismatches(left, right, ["k"], ["v", "d", "n"]).count() == 0
+    assert symmetric_difference(left.union(left), right).count() == 0  # a repeated row is no difference
+    for planted in ((5000, "x", 1.0, 1), (17, None, 9.0, 3)):
+        other = right.union(spark.createDataFrame([planted], right.schema))
+        assert [tuple(r) for r in symmetric_difference(left, other).collect()] == [(*planted, "right")]
+    changed = right.withColumn("v", F.when(F.col("k") == 40, F.lit("z")).otherwise(F.col("v")))
+    assert {(r.k, r.only_in) for r in symmetric_difference(left, changed).collect()} == {(40, "left"), (40, "right")}
+    assert [r.k for r in keyed_mismatches(left, changed, ["k"], ["v", "d", "n"]).collect()] == [40]
+    assert [r.k for r in keyed_mismatches(left, right.where("k <> 90"), ["k"], ["v", "d"]).collect()] == [90]
+    swapped = right.select("k", F.when(F.col("k") == 3, F.lit(None).cast("string")).otherwise(F.col("v")).alias("v"), "d", "n")
+    assert [r.k for r in keyed_mismatches(left, swapped, ["k"], ["v"]).collect()] == ([3] if rows[3][1] else [])
+    none = left.limit(0)
+    assert symmetric_difference(none, none).count() == 0 and symmetric_difference(left, none).count() == 3000
+    blank = spark.createDataFrame([(None, "x")], "k long, v string")
+    assert keyed_mismatches(blank, blank, ["k"], ["v"]).count() == 2
+
+
+def test_nothing_is_joined_where_tables_agree(spark):
+    left = spark.range(5000).selectExpr("id as k", "id % 11 as v").repartition(4)
+    found = keyed_mismatches(left, left.repartition(3), ["k"], ["v"])
+    assert found.collect() == []
+    found = keyed_mismatches(left, left.repartition(3), ["k"], ["v"])
+    execution = found._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    final = execution.executedPlan().toString().split("Initial Plan")[0]
+    assert "FullOuter" not in final
+
+
 def test_unpivot_keeps_nulls(spark):
     df = spark.createDataFrame([(1, 10, None)], "id long, a long, b long")
     out = unpivot(df, ["id"], "h", {90: {"x": "a"}, 180: {"x": "b"}}).collect()
