@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.functions.exprs import clean, full_years, least_known
-from touchline.ml import blend, bootstrap, drift, gates, intervals, scores, splits
+from touchline.ml import blend, bootstrap, drift, gates, importance, intervals, scores, splits
 from touchline.plans.features import valuation_events
 from touchline.streaming import history
 from touchline.streaming.incremental import append_new_keys
@@ -73,6 +73,34 @@ def test_bootstrap_undefined(spark):
     assert r.mae_skill_vs_persistence_pct == pytest.approx(80)
 
 
+@pytest.mark.parametrize("block", [10_000, 7])
+def test_bootstrap_draws_add_up(spark, monkeypatch, block):
+    monkeypatch.setattr(bootstrap, "BLOCK", block)
+    players = spark.createDataFrame([(i, i / 8, 1.0) for i in range(100)], "player_id long, m double, b double")
+    got = {r.replicate: (r.draws, r.m, r.b) for r in bootstrap.player_draws(players, "player_id", 150, 5).collect()}
+    assert set(got) == set(range(150)) and all(d == b == 100 for d, _, b in got.values())
+    again = {r.replicate: (r.draws, r.m, r.b) for r in bootstrap.player_draws(players.repartition(6), "player_id", 150, 5).collect()}
+    assert got == again and len({m for _, m, _ in got.values()}) > 100
+    mean = sum(m for _, m, _ in got.values()) / 150
+    assert abs(mean - sum(range(100)) / 8) < 4 * 12.5 * 29 / 8 / 12  # four standard errors or so
+
+
+def test_donors_are_permutations(spark):
+    for n in (1, 2, 6, 97, 360):
+        for step, start in importance.donors(n, 4, 3):
+            assert sorted((step * i + start) % n for i in range(n)) == list(range(n))
+    assert len(importance.donors(0, 2, 1)) == 2
+
+
+def test_numbers_are_dense(spark, monkeypatch):
+    df = spark.range(500).selectExpr("concat('k', id) as k", "id as v")
+    monkeypatch.setattr(importance, "PART", 40)
+    rows, n = importance.numbered(df.repartition(1), "k", 9)
+    more, _ = importance.numbered(df.repartition(64), "k", 9)
+    assert n == 500 and sorted(r.no for r in rows.collect()) == list(range(500))
+    assert {(r.k, r.no) for r in rows.collect()} == {(r.k, r.no) for r in more.collect()}
+
+
 def test_bootstrap_interval_holds_estimate(spark):
     df = _predictions(spark, [(i, 2024, 100. + i, 100., 90. - i % 7, 0., 0.) for i in range(300)])
     r = bootstrap.mae_skill_bootstrap(df, replicates=200).first()

@@ -67,8 +67,10 @@ def order_statistics(df: DataFrame, by: list[str], value: str, wants: dict[str,
     cells = data.groupBy("_g", "_v").agg(F.count("*").alias("_c")).withColumn("_k", sortable(F.col("_v")))
 
     spots = [w.position(F.col("_n")) for w in wants.values()]
-    slots = F.array(*[F.struct(F.lit(2 * i + up).alias("slot"), (F.ceil(s) if up else F.floor(s)).cast("long").alias("rank"))
-                      for i, s in enumerate(spots) for up in (0, 1)])
+    ranks = [(2 * i + up, F.ceil(s) if up else F.floor(s)) for i, s in enumerate(spots) for up in (0, 1)]
+    if any(w.rule == "conformal" for w in wants.values()):
+        ranks.append((-1, F.lit(0)))  # keeps the group where its rank lies beyond it
+    slots = F.array(*[F.struct(F.lit(slot).alias("slot"), rank.cast("long").alias("rank")) for slot, rank in ranks])
     chosen = None
     for shift in range(64 - DIGIT, -1, -DIGIT):
         sums = [F.sum("_c").alias("_c"), *([] if shift else [F.max("_v").alias("_v")])]
