@@ -17,9 +17,12 @@ KEY = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of this process only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``; one of this process only where it is unset and there is but one machine."""
     folder = spark.conf.get(KEY, "") or ""
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"name a folder that all executors share in {KEY}")
         folder = tempfile.mkdtemp(prefix="touchline-")
         atexit.register(shutil.rmtree, folder, True)
         spark.conf.set(KEY, folder)
