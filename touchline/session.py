@@ -42,11 +42,14 @@ _own_folders: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """Folder the cluster shares, as ``spark.checkpoint.dir`` names it.
 
-    Only where the session names none (one machine, tests) a folder of this process is made.
+    Only where the session names none and runs on this machine alone a folder of this process is made.
     """
     named = spark.conf.get("spark.checkpoint.dir", "") or ""
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     app = spark.sparkContext.applicationId
     if app not in _own_folders:
         _own_folders[app] = tempfile.mkdtemp(prefix="touchline-")
