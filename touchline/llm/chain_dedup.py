@@ -19,6 +19,8 @@
 5. *Alignment.*  The words between chained seeds are aligned, ends are extended by up to
    ``MAX_GAP`` words while equal words outweigh others, and passages of ``MIN_WORDS`` words or
    more with an identity of 0.75 or more stay.  A chain of less identity is cut at its widest gap.
+   Chains inside a longer chain of the document come later, and only where no passage was found that
+   holds them: a place of a document is reported with its best source.
 
 Words are as elsewhere: runs without ASCII white space, A-Z lower-cased.  Null and short texts
 have no seeds.  Rows without doc_id are left out; rows that repeat a doc_id are texts of one
@@ -48,7 +50,7 @@ GAP_COST, MAX_GAP = 0.05, 100
 #: Distances of the second seed of a pair, ends included.
 NEAR, FAR = (K, 24), (25, 48)
 #: Words beyond a chain's ends that may still belong to its passage.
-MARGIN = MAX_GAP
+MARGIN, GRID = MAX_GAP, 256
 #: An unequal word beyond an end weighs as much as so many equal ones; how far the sum may fall.
 UNEQUAL, DROP = 3, 20
 
@@ -298,6 +300,52 @@ def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                           "src_end_word", "n_seeds", "n_equal", "identity", "passage"])
 
 
+CHAINS = "doc_id long, src long, xs array<int>, ys array<int>"
+
+
+def leading(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Marks the chains that lie inside no longer chain of their document, of rows sorted by it, the longest first."""
+    for g in whole(frames, ["doc_id"]):
+        doc, ends, lead = g["doc_id"].to_numpy(), [], []
+        last = None
+        for d, xs in zip(doc, g["xs"], strict=True):
+            if d != last:
+                last, ends = d, []
+            lo, hi = int(xs[0]), int(xs[-1])
+            inside = any(a <= lo and hi <= b for a, b in ends)
+            lead.append(not inside)
+            if not inside:
+                ends.append((lo, hi))
+        yield g.assign(lead=lead)
+
+
+def alignments(made: DataFrame, docs: DataFrame, staging: Staging, name: str) -> DataFrame:
+    """The passages around chains, with the words of both texts brought to them."""
+
+    def around(c: str, side: str) -> list:
+        # On a grid, so that the chains of a text ask for few different parts of it.
+        return [F.expr(f"cast(greatest({c}[0] - {MARGIN}, 0) div {GRID} * {GRID} as int)").alias(f"{side}_lo"),
+                F.expr(f"cast((element_at({c}, -1) + {K + MARGIN}) div {GRID} * {GRID} + {GRID} as int)").alias(f"{side}_hi")]
+
+    made = made.select("*", *around("xs", "a"), *around("ys", "b"))
+    asked = made.select("doc_id", F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi")).union(
+        made.select("src", "b_lo", "b_hi")).distinct()
+    # a text travels once for all its parts that begin within the same stretch, not once for each
+    parts = staging.put(f"{name}_parts", asked.groupBy("doc_id", F.expr("lo div 4096").alias("stretch")).agg(
+        F.collect_list(F.struct("lo", "hi")).alias("parts")))
+    slices = parts.join(docs, "doc_id").select("doc_id", "text", "parts")
+    slices = staging.put(f"{name}_slices", slices.mapInPandas(cut_words, "doc_id long, lo int, hi int, words string"))
+    staging.release()
+
+    def side(key: str, s: str) -> DataFrame:
+        return slices.select(F.col("doc_id").alias(key), F.col("lo").alias(f"{s}_lo"), F.col("hi").alias(f"{s}_hi"),
+                             F.col("words").alias(f"{s}_words"))
+
+    both = made.join(side("doc_id", "a"), ["doc_id", "a_lo", "a_hi"]).join(side("src", "b"), ["src", "b_lo", "b_hi"])
+    return both.mapInPandas(aligned, "doc_id long, src_doc_id long, start_word int, end_word int, src_start_word int, "
+                            "src_end_word int, n_seeds int, n_equal int, identity double, passage string")
+
+
 def fuzzy_passages(docs: DataFrame) -> DataFrame:
     """One row for each passage of a document that repeats, exactly or nearly, in an earlier one."""
     spark = docs.sparkSession
@@ -325,24 +373,15 @@ def fuzzy_passages(docs: DataFrame) -> DataFrame:
     made = (matches.repartition(n, "doc_id", "src").sortWithinPartitions("doc_id", "src", "pos", "src_pos")
             .mapInPandas(chained, "doc_id long, src long, xs array<int>, ys array<int>"))
 
-    def around(c: str, side: str) -> list:
-        return [F.greatest(F.element_at(c, 1) - MARGIN, F.lit(0)).alias(f"{side}_lo"),
-                (F.element_at(c, -1) + K + MARGIN).alias(f"{side}_hi")]
-
-    made = staging.put("chains", made.select("*", *around("xs", "a"), *around("ys", "b")))
-    staging.release()
-    asked = made.select("doc_id", F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi")).union(
-        made.select("src", "b_lo", "b_hi")).distinct()
-    # a text travels once for all its parts that begin within the same stretch, not once for each
-    parts = asked.groupBy("doc_id", F.expr("lo div 4096")).agg(F.collect_list(F.struct("lo", "hi")).alias("parts"))
-    slices = parts.join(docs, "doc_id").select("doc_id", "text", "parts")
-    slices = staging.put("slices", slices.mapInPandas(cut_words, "doc_id long, lo int, hi int, words string"))
+    made = staging.put("chains", made)
     staging.release()
-
-    def side(key: str, s: str) -> DataFrame:
-        return slices.select(F.col("doc_id").alias(key), F.col("lo").alias(f"{s}_lo"), F.col("hi").alias(f"{s}_hi"),
-                             F.col("words").alias(f"{s}_words"))
-
-    both = made.join(side("doc_id", "a"), ["doc_id", "a_lo", "a_hi"]).join(side("src", "b"), ["src", "b_lo", "b_hi"])
-    return both.mapInPandas(aligned, "doc_id long, src_doc_id long, start_word int, end_word int, src_start_word int, "
-                            "src_end_word int, n_seeds int, n_equal int, identity double, passage string")
+    ranked = made.repartition(n, "doc_id").sortWithinPartitions("doc_id", F.size("xs").desc(), F.element_at("xs", 1), "src")
+    ranked = staging.put("ranked", ranked.mapInPandas(leading, CHAINS + ", lead boolean"))
+    found = staging.put("passages", alignments(ranked.where("lead").drop("lead"), docs, staging, "lead"))
+    # What lies inside a longer chain counts only where no passage was made of that.
+    rest = ranked.where("not lead").drop("lead").join(
+        found.select("doc_id", "start_word", "end_word"),
+        (ranked["doc_id"] == found["doc_id"]) & (found["start_word"] <= F.element_at("xs", 1)) & (found["end_word"] >= F.element_at("xs", -1) + K),
+        "left_anti")
+    rest = staging.put("rest", rest)
+    return found.union(alignments(rest, docs, staging, "rest"))
