@@ -19,7 +19,7 @@
 5. *Alignment.*  The words between chained seeds are aligned, ends are extended by up to
    ``MAX_GAP`` words while equal words outweigh others, and passages of ``MIN_WORDS`` words or
    more with an identity of 0.75 or more stay.  A chain of less identity is cut at its widest gap.
-   Chains inside a longer chain of the document come later, and only where no passage was found that
+   Chains inside another chain of the document come later, and only where no passage was found that
    holds them: a place of a document is reported with its best source.
 
 Words are as elsewhere: runs without ASCII white space, A-Z lower-cased.  Null and short texts
@@ -33,6 +33,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -225,7 +226,7 @@ def chained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         doc, src = g["doc_id"].to_numpy(), g["src"].to_numpy()
         start = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (src[1:] != src[:-1])]))
         for a, b in zip(start, [*start[1:], len(g)], strict=True):
-            for c in chains(x[a:b], y[a:b]):
+            for c in chains(x[a:b], y[a:b]) if b - a > 1 else [np.zeros(1, np.int64)]:
                 rows.append((doc[a], src[a], x[a:b][c], y[a:b][c]))
         yield pd.DataFrame(rows, columns=["doc_id", "src", "xs", "ys"])
 
@@ -286,10 +287,11 @@ def passages(a: list[str], b: list[str], xs: list[int], ys: list[int]) -> list[t
 
 
 def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    words = lru_cache(512)(lambda text: text.split(" "))  # the chains of a document share its parts
     for frame in frames:
         rows = []
         for r in frame.itertuples(index=False):
-            a, b = r.a_words.split(" "), r.b_words.split(" ")
+            a, b = words(r.a_words), words(r.b_words)
             xs, ys = [p - r.a_lo for p in r.xs], [p - r.b_lo for p in r.ys]
             if xs[-1] + K > len(a) or ys[-1] + K > len(b):  # the other text of a repeated doc_id
                 continue
@@ -304,19 +306,14 @@ CHAINS = "doc_id long, src long, xs array<int>, ys array<int>"
 
 
 def leading(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Marks the chains that lie inside no longer chain of their document, of rows sorted by it, the longest first."""
+    """Marks the chains that lie inside no other of their document, of rows sorted by document, start and falling end."""
     for g in whole(frames, ["doc_id"]):
-        doc, ends, lead = g["doc_id"].to_numpy(), [], []
-        last = None
-        for d, xs in zip(doc, g["xs"], strict=True):
-            if d != last:
-                last, ends = d, []
-            lo, hi = int(xs[0]), int(xs[-1])
-            inside = any(a <= lo and hi <= b for a, b in ends)
-            lead.append(not inside)
-            if not inside:
-                ends.append((lo, hi))
-        yield g.assign(lead=lead)
+        doc, end = g["doc_id"].to_numpy(), np.array([xs[-1] for xs in g["xs"]], np.int64)
+        first = np.concatenate([[True], doc[1:] != doc[:-1]])
+        # The farthest end before each row, within its document: documents are set apart by a step.
+        step = np.cumsum(first) * (1 << 40)
+        before = np.concatenate([[0], np.maximum.accumulate(end + step)[:-1]])
+        yield g.assign(lead=first | (end + step > before))
 
 
 def alignments(made: DataFrame, docs: DataFrame, staging: Staging, name: str) -> DataFrame:
@@ -375,10 +372,10 @@ def fuzzy_passages(docs: DataFrame) -> DataFrame:
 
     made = staging.put("chains", made)
     staging.release()
-    ranked = made.repartition(n, "doc_id").sortWithinPartitions("doc_id", F.size("xs").desc(), F.element_at("xs", 1), "src")
+    ranked = made.repartition(n, "doc_id").sortWithinPartitions("doc_id", F.element_at("xs", 1), F.element_at("xs", -1).desc(), F.size("xs").desc(), "src")
     ranked = staging.put("ranked", ranked.mapInPandas(leading, CHAINS + ", lead boolean"))
     found = staging.put("passages", alignments(ranked.where("lead").drop("lead"), docs, staging, "lead"))
-    # What lies inside a longer chain counts only where no passage was made of that.
+    # What lies inside another chain counts only where no passage was made of that.
     rest = ranked.where("not lead").drop("lead").join(
         found.select("doc_id", "start_word", "end_word"),
         (ranked["doc_id"] == found["doc_id"]) & (found["start_word"] <= F.element_at("xs", 1)) & (found["end_word"] >= F.element_at("xs", -1) + K),
