@@ -6,7 +6,9 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from touchline.plans import transfers
 from touchline.plans.warehouse import MODELS, Warehouse
+from touchline.session import size_shuffles
 from touchline.sources import raw, sinks
 from touchline.sources.freshness import source_freshness
 
@@ -67,3 +69,46 @@ def test_stored_and_shared_tables(spark, rows, tmp_path, monkeypatch):
     assert os.path.isdir(f"{tmp_path}/fct_probe_report")
     with pytest.raises(ValueError):
         Warehouse(spark, {}, date(2020, 1, 1)).store("fct_probe")
+
+
+def test_an_earlier_warehouse_takes_the_tables_of_a_later_one(spark, monkeypatch):
+    built = []
+
+    def outcomes(wh):
+        built.append(wh.as_of)
+        day = F.col("transfer_date")
+        rows = spark.createDataFrame(
+            [(1, date(2000, 1, 1), 5, date(2000, 12, 20)), (2, date(2000, 1, 1), None, None), (3, date(2001, 3, 1), 5, None),
+             (4, date(2001, 8, 1), 5, None), (5, date(2002, 5, 1), 5, None), (6, None, 5, None)],
+            "k long, transfer_date date, market_value_baseline long, seen date")
+        rows = rows.where(day <= F.lit(wh.as_of)).withColumn("source_latest_valuation_date", F.lit(date(2002, 1, 15)))
+        cutoff = F.least(F.lit(wh.as_of), "source_latest_valuation_date")
+        for h in transfers.HORIZONS:
+            rows = rows.withColumn(f"valuation_{h}d_date", F.col("seen")).withColumn(
+                f"outcome_{h}d_status", transfers._outcome_status(h, F.col("market_value_baseline"), F.col("seen"), cutoff))
+        return rows
+
+    monkeypatch.setitem(MODELS, "fct_transfer_fixed_horizon_outcomes", outcomes)
+    name, late, early = "fct_transfer_fixed_horizon_outcomes", date(2002, 12, 31), date(2001, 12, 31)
+    later = Warehouse(spark, {}, late, shared={name})
+    got = Warehouse(spark, {}, early, shared={name}, later=later)[name]
+    assert built == [late]
+    want = Warehouse(spark, {}, early)[name]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 4
+    assert len({r.outcome_180d_status for r in got.collect()}) > 2
+    assert Warehouse(spark, {}, early, shared={name}, later=later).unstored(name).count() == 4
+    with pytest.raises(ValueError):
+        Warehouse(spark, {}, late, later=Warehouse(spark, {}, early))
+
+
+def test_shuffles_of_many_rows_start_with_more_partitions(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        size_shuffles(spark, 400_000)
+        assert spark.conf.get(key, None) is None
+        size_shuffles(spark, 2_000_001)
+        assert spark.conf.get(key) == "21"
+        size_shuffles(spark, 500_000)
+        assert spark.conf.get(key) == "21"
+    finally:
+        spark.conf.unset(key)
