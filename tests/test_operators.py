@@ -3,6 +3,7 @@
 import math
 import random
 from datetime import date, timedelta
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -14,6 +15,7 @@ from touchline.operators.compare import keyed_mismatches, symmetric_difference
 from touchline.operators.order_stats import Want, order_statistics, sortable
 from touchline.operators.rolling import trailing_rows
 from touchline.operators.segments import unpivot
+from touchline.plans import transfers
 
 D0 = date(2000, 1, 1)
 
@@ -192,3 +194,52 @@ def test_discrete_quantiles_of_a_large_group(spark):
     groups = rows.select("g").distinct()
     got = {r.g: (r.low, r.mid, r.high) for r in with_quantiles(groups, rows, ["g"], "v", {"low": 0.25, "mid": 0.5, "high": 0.75}).collect()}
     assert got == {"a": (62_500, 125_000, 187_500), None: (1, 1, 3), "b": (None, None, None)}
+
+
+def test_probe_days_are_made_after_the_shuffle(facts):
+    left, right = facts[2], facts[3]
+    for out in (
+        timeline.nearest_within(left, right, "k", "at", "d", ["v"], {"a": 10, "b": 400}, 30),
+        timeline.window_sums(left, right, "k", "at", "d", {"n": F.lit(1)}, {"pre": (-3, -1), "post": (0, 3)}),
+    ):
+        lines = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        made = [i for i, line in enumerate(lines) if "Generate explode" in line]
+        dealt = [i for i, line in enumerate(lines) if "RepartitionByExpression [k" in line]
+        assert len(made) == len(dealt) == 1 and made[0] < dealt[0]  # a plan is printed from its top
+
+
+def test_transfer_numbers_with_copies_undated_rows_and_repeated_clubs(spark):
+    def rows(schema, *data):
+        return spark.createDataFrame(list(data), schema)
+
+    money = "decimal(38,9)"
+    move = ("player_id long, transfer_date date, transfer_season string, from_club_id long, to_club_id long, from_club_name string,"
+            f" to_club_name string, transfer_fee {money}, market_value_in_eur {money}, player_name string")
+    day, later = date(2001, 1, 5), date(2001, 2, 5)
+    one, two = Decimal(1), Decimal(2)
+    wh = {
+        "stg_transfers": rows(
+            move, *[(1, day, "s", 7, 8, None, None, one, None, "p")] * 3, (1, later, "s", 8, 9, None, None, two, None, "p"),
+            (1, None, "s", 8, 9, None, None, None, None, "p"), (2, None, "s", 7, 7, None, None, two, None, "q"),
+            (1, date(1970, 1, 1), "s", 9, 8, None, None, None, None, "p")),
+        "stg_player_valuations": rows(
+            "player_id long, valuation_date date, market_value_in_eur long, current_club_id long, current_club_name string,"
+            " player_club_domestic_competition_id string", (1, date(2001, 1, 1), 5, 7, "c", "x"), (1, date(2001, 2, 1), 6, 7, "c", "x")),
+        "dim_players": rows("player_id long, player_name string, position string, sub_position string, birth_date date,"
+                            " country_of_citizenship string", (1, "p", "a", "b", None, None)),
+        "int_player_market_value_summary": rows(
+            "player_id long, first_valuation_date date, latest_valuation_date date, first_market_value long, current_market_value long,"
+            " highest_market_value long, market_value_growth long, market_value_growth_pct double"),
+        "int_transfer_summary": rows(f"player_id long, total_transfer_fee {money}, avg_transfer_fee double, max_transfer_fee {money}"),
+        "dim_clubs": rows("club_id long, club_name string", (7, "seven"), (9, "nine"), (9, "nine")),
+    }
+    out = transfers._sequenced(wh)
+    got = sorted(((r.player_id, str(r.transfer_date), r.transfer_sequence_number, r.player_transfer_count, r.cumulative_known_transfer_fee,
+                  str(r.previous_transfer_date), r.prior and r.prior["on"].day) for r in out.collect()), key=str)
+    # Numbers count a transfer once, also where a club is there twice; an undated row comes first, the first of 1970 is a day.
+    assert got == sorted([
+        *[(1, "None", 1, 6, None, "None", None)] * 2, *[(1, "1970-01-01", 2, 6, None, "None", None)] * 2,
+        (1, "2001-01-05", 3, 6, one, "1970-01-01", 1), (1, "2001-01-05", 4, 6, one * 2, "2001-01-05", 1),
+        (1, "2001-01-05", 5, 6, one * 3, "2001-01-05", 1), *[(1, "2001-02-05", 6, 6, one * 5, "2001-01-05", 1)] * 2,
+        (2, "None", 1, 1, two, "None", None)], key=str)
+    assert "<=>" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -112,3 +112,26 @@ def test_shuffles_of_many_rows_start_with_more_partitions(spark):
         assert spark.conf.get(key) == "21"
     finally:
         spark.conf.unset(key)
+
+
+def test_a_use_of_few_columns_does_not_store_the_wide_table(spark, monkeypatch):
+    monkeypatch.setitem(MODELS, "fct_probe", lambda wh: spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"))
+    wh = Warehouse(spark, {}, date(2020, 1, 1), shared={"fct_probe"})
+    part = wh.columns("fct_probe", "k")
+    assert part.columns == ["k"] and part.inputFiles() and "fct_probe" not in wh._made
+    assert wh["fct_probe"].count() == 2 and set(wh.columns("fct_probe", "v").inputFiles()) <= set(wh["fct_probe"].inputFiles())
+
+
+def test_partitions_joined_by_size_stay_small_unless_the_session_sets_them(spark):
+    first, size = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    have = spark.conf.get(size, None)
+    try:
+        spark.conf.unset(size)
+        size_shuffles(spark, 1)
+        assert spark.conf.get(size) == "16m"
+        spark.conf.set(size, "8m")
+        size_shuffles(spark, 1)
+        assert spark.conf.get(size) == "8m"
+    finally:
+        spark.conf.unset(first)
+        spark.conf.unset(size) if have is None else spark.conf.set(size, have)
