@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ pytest.importorskip("touchline.llm")
 
 from touchline.llm import (  # noqa: E402
     chain_dedup, components, decontaminate, language, minhash_dedup, packing, permutation_index, pii, quality,
-    quotations, substring_exact)
+    quotations, staging, substring_exact)
 from touchline.llm import text as T  # noqa: E402
 from touchline.llm.staging import Staging  # noqa: E402
 
@@ -503,3 +504,29 @@ def test_pipeline_keeps_the_token_ids(spark, tmp_path):
     for doc, g in out.sort_values("start").groupby("doc_id"):
         assert [x for part in g["ids"] for x in part] == [*whole.encode(texts[doc], add_special_tokens=False).ids, packing.END]
     assert set(out.doc_id) == set(texts)
+
+
+def test_batches_of_texts_are_bounded_by_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        staging.ship(spark)
+        sizes = (spark.range(0, 60, 1, 1).selectExpr("repeat('x', 500000) as text")
+                 .mapInPandas(lambda frames: (pd.DataFrame({"n": [int(f["text"].str.len().sum())]}) for f in frames), "n long").collect())
+        assert sum(r.n for r in sizes) == 30_000_000 and max(r.n for r in sizes) < 10_000_000
+        spark.conf.set(key, "12345678")
+        staging.ship(spark)
+        assert spark.conf.get(key) == "12345678"
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+
+
+def test_known_parts_of_the_tokenizer_stay_in_arrays():
+    encoder = packing.WordEncoder(packing.tokenizer_path())
+    raw = [b"One two, three", b"two four one", b"", b"three five"]
+    first = encoder.encode(raw[:1])
+    later = encoder.encode(raw)
+    assert [x.tolist() for x in later] == [encoder.plain(b.decode()).tolist() for b in raw] and (first[0] == later[0]).all()
+    held = sum(x.nbytes for x in (encoder.names, encoder.begin, encoder.size))
+    assert len(encoder.names) == 6 and held <= 6 * 24 and (np.diff(encoder.names.astype(object)) > 0).all()

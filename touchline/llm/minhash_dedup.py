@@ -56,7 +56,7 @@ def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     salt = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
     for frame in frames:
         raw, ids = T.encode(frame["text"]), frame["doc_id"].to_numpy()
-        for a, b in T.batches(raw):
+        for a, b in T.batches(raw, T.CACHED):
             rows = []
             for doc, s in zip(ids[a:b], T.Words(raw[a:b]).shingles(SHINGLE), strict=True):
                 if not len(s):
@@ -79,7 +79,7 @@ def shingle_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         raw, ids = T.encode(frame["text"]), frame["doc_id"].to_numpy()
         asked = frame[["d1", "d2"]].to_numpy()
-        for a, b in T.batches(raw):
+        for a, b in T.batches(raw, T.CACHED):
             sets = [(i, s.view(np.int64)) for i, s, d in zip(ids[a:b], T.Words(raw[a:b]).shingles(SHINGLE), asked[a:b], strict=True)
                     if (digest(s) == d).all()]
             yield pd.DataFrame(sets, columns=["doc_id", "shingles"])

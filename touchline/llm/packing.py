@@ -70,25 +70,25 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def forget(self) -> None:
-        self.index: dict[int, int] = {}
+        # Sorted arrays: a worker that stays between stages keeps them, and a dict takes ten times their room.
+        self.names = np.zeros(0, np.uint64)
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def learn(self, names: list[int], parts: list[bytes]) -> None:
+    def learn(self, names: np.ndarray, parts: list[bytes]) -> None:
+        """Ids of parts by their hashes, which are sorted and not known yet."""
         text = f" {SENTINEL} ".join([p.decode() for p in parts])
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         cut = np.flatnonzero(ids == self.between[0])
         begin, end = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(ids)]])
-        first = len(self.index)
         while len(self.ids) < self.used + len(ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while len(self.begin) < first + len(parts):
-            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
         self.ids[self.used : self.used + len(ids)] = ids
-        self.begin[first : first + len(parts)] = begin + self.used
-        self.size[first : first + len(parts)] = end - begin
+        at = np.searchsorted(self.names, names)
+        self.names = np.insert(self.names, at, names)
+        self.begin = np.insert(self.begin, at, begin + self.used)
+        self.size = np.insert(self.size, at, end - begin)
         self.used += len(ids)
-        self.index.update(zip(names, range(first, first + len(parts)), strict=True))
 
     def encode(self, raw: list[bytes]) -> list[np.ndarray]:
         """Ids of each text."""
@@ -105,7 +105,7 @@ class WordEncoder:
         return self.encode_parts(raw)
 
     def encode_parts(self, raw: list[bytes]) -> list[np.ndarray]:
-        if len(self.index) > CACHED_WORDS:
+        if len(self.names) > CACHED_WORDS:
             self.forget()
         joined = b" ".join([*raw, b""])
         data = np.frombuffer(joined, np.uint8)
@@ -117,11 +117,13 @@ class WordEncoder:
         start = np.flatnonzero(opens)
         end = np.flatnonzero(inside & ~np.concatenate([inside[1:] & ~opens[1:], [False]])) + 1
         name, first, at = np.unique(T.Prefix(T.LOWER[data]).spans(start, end), return_index=True, return_inverse=True)
-        names = name.tolist()
-        new = [k for k, x in enumerate(names) if x not in self.index]
-        if new:
-            self.learn([names[k] for k in new], [joined[start[first[k]] : end[first[k]]] for k in new])
-        here = np.fromiter(map(self.index.__getitem__, names), np.int64, len(names))
+        here = np.searchsorted(self.names, name)
+        new = np.ones(len(name), bool)
+        inner = here < len(self.names)
+        new[inner] = self.names[here[inner]] != name[inner]
+        if new.any():
+            self.learn(name[new], [joined[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+            here = np.searchsorted(self.names, name)
         begin, n = self.begin[here][at], self.size[here][at]
         run = np.cumsum(n)
         flat = np.repeat(begin - (run - n), n) + np.arange(int(run[-1]) if len(run) else 0)

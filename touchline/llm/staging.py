@@ -30,10 +30,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _shipped: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: A Python worker holds a batch of texts three times over: as Arrow, as strings and as bytes.
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package's modules to the Python workers of the session, once."""
+    """Give this package's modules to the Python workers of the session, once, in batches bounded by bytes.
+
+    By default only rows bound a batch, whatever the length of their texts.  A size that the session sets itself stays.
+    """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -14,6 +14,8 @@ import pandas as pd
 
 BASE = 0x9E3779B97F4A7C15
 SLICE = 1 << 20
+#: Slices whose 64-bit arrays stay in a core's cache.
+CACHED = 1 << 18
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
@@ -27,7 +29,7 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base and of its inverse; kept between calls up to a few slices."""
     if len(_powers[0]) < n:
-        m = max(n, 2 * SLICE)
+        m = -(-(n - 1) // SLICE) * SLICE + 1
         made = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(m - 1, x, np.uint64)]))
                 for x in (BASE, pow(BASE, -1, 1 << 64))]
         if m > 16 * SLICE:
