@@ -530,3 +530,9 @@ def test_known_parts_of_the_tokenizer_stay_in_arrays():
     assert [x.tolist() for x in later] == [encoder.plain(b.decode()).tolist() for b in raw] and (first[0] == later[0]).all()
     held = sum(x.nbytes for x in (encoder.names, encoder.begin, encoder.size))
     assert len(encoder.names) == 6 and held <= 6 * 24 and (np.diff(encoder.names.astype(object)) > 0).all()
+
+
+def test_equal_first_identifiers_are_told_apart_by_the_second():
+    g = pd.DataFrame({"h1": [4, 4, 4, 4], "h2": [1, 2, 1, 2], "doc_id": [9, 7, 8, 7], "span": 0, "cnt": 1, "need": 0})
+    (out,) = substring_exact.answers("strings")(iter([g]))
+    assert out["doc_id"].tolist() == [9]

@@ -133,8 +133,13 @@ def collapse(rows: list[tuple[np.ndarray, ...]], spread: bool) -> pd.DataFrame:
     documents' answer is known already: their rows (cnt 0) are dealt out by document.
     """
     h1, h2, doc, need = (np.concatenate(c) for c in zip(*rows, strict=True))
-    order = np.lexsort((doc, h2, h1))
-    h1, h2, doc, need = h1[order], h2[order], doc[order], need[order]
+    order = np.argsort(h1)
+    h1 = h1[order]
+    same = h1[1:] == h1[:-1]
+    tied = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same])) if len(h1) else order
+    part = order[tied]
+    order[tied] = part[np.lexsort((doc[part], h2[part], h1[tied]))]
+    h2, doc, need = h2[order], doc[order], need[order]
     if not len(h1):
         return pd.DataFrame({c: [] for c in COLUMNS})
     new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
@@ -144,11 +149,11 @@ def collapse(rows: list[tuple[np.ndarray, ...]], spread: bool) -> pd.DataFrame:
     k = np.flatnonzero(other)
     zero = np.zeros(len(k), np.int64)
     span = doc[start + size - 1] - doc[start] if spread else np.zeros(len(start), np.int64)
-    out = pd.DataFrame({
-        "h1": np.concatenate([h1[start], h1[k]]).view(np.int64), "h2": np.concatenate([h2[start], h2[k]]),
-        "doc_id": np.concatenate([doc[start], doc[k]]), "span": np.concatenate([span, zero]),
-        "cnt": np.concatenate([size, zero]).astype(np.int32), "need": np.concatenate([need[start], zero]).astype(np.int32)})
-    return out.sort_values("doc_id", kind="stable")  # equal neighbours shrink in the shuffle files
+    out = (np.concatenate([h1[start], h1[k]]).view(np.int64), np.concatenate([h2[start], h2[k]]),
+           np.concatenate([doc[start], doc[k]]), np.concatenate([span, zero]),
+           np.concatenate([size, zero]).astype(np.int32), np.concatenate([need[start], zero]).astype(np.int32))
+    order = np.argsort(out[2], kind="stable")  # equal neighbours shrink in the shuffle files
+    return pd.DataFrame({c: x[order] for c, x in zip(COLUMNS, out, strict=True)})
 
 
 def packed(texts: pd.Series) -> pd.Series:
@@ -171,7 +176,7 @@ def posting(rows_of, spread: bool = False):
         held: list[tuple[np.ndarray, ...]] = []
         for frame in frames:
             raw = texts_of(frame)
-            for a, b in T.batches(raw):
+            for a, b in T.batches(raw, T.CACHED):
                 part = frame.iloc[a:b]
                 held.append(rows_of(Runs(raw[a:b]), part["doc_id"].to_numpy(), part))
                 if sum(len(h[0]) for h in held) > CHUNK:
@@ -216,12 +221,14 @@ def string_posts(runs: Runs, ids: np.ndarray, frame: pd.DataFrame) -> tuple[np.n
 
 
 def answers(kind: str):
-    """A mapInPandas function over posts sorted by identifier; one group may span batches."""
+    """A mapInPandas function over posts sorted by ``h1``; one group may span batches."""
 
     def settle(g: pd.DataFrame) -> pd.DataFrame:
-        h1 = g["h1"].to_numpy()
+        h1, h2 = g["h1"].to_numpy(), g["h2"].to_numpy()
+        if ((h1[1:] == h1[:-1]) & (h2[1:] != h2[:-1])).any():
+            g = g.iloc[np.lexsort((h2, h1))]
+            h1, h2 = g["h1"].to_numpy(), g["h2"].to_numpy()
         doc, cnt = g["doc_id"].to_numpy(), g["cnt"].to_numpy().astype(np.int64)
-        h2 = g["h2"].to_numpy()
         start = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
         of = np.repeat(np.arange(len(start)), np.diff(np.concatenate([start, [len(h1)]])))
         known = cnt == 0
@@ -245,8 +252,8 @@ def answers(kind: str):
         for frame in frames:
             if not len(frame):
                 continue
-            last = (frame["h1"] == frame["h1"].iloc[-1]).to_numpy()
-            cut = len(frame) - int(last[::-1].argmin()) if not last.all() else 0
+            h1 = frame["h1"].to_numpy()
+            cut = int(np.searchsorted(h1, h1[-1]))
             if cut:
                 yield settle(pd.concat([*held, frame.iloc[:cut]]) if held else frame.iloc[:cut])
                 held = []
@@ -260,7 +267,8 @@ def answers(kind: str):
 def exchange(rows: DataFrame, kind: str, n: int) -> DataFrame:
     """What each document is told about the identifiers it posted, as one array."""
     deal = F.when(F.col("cnt") == 0, F.xxhash64("h1", "doc_id")).otherwise(F.col("h1"))
-    told = (rows.repartition(n, deal).sortWithinPartitions("h1", "h2")
+    # On one long column Spark sorts by radix; equal h1 with different h2 are put in order by the group.
+    told = (rows.repartition(n, deal).sortWithinPartitions("h1")
             .mapInPandas(answers(kind), "doc_id long, value long"))
     return told.groupBy("doc_id").agg(F.collect_list("value").alias(kind))
 
@@ -269,7 +277,7 @@ def removal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Byte and run counts and the digest of what stays."""
     for frame in frames:
         raw = texts_of(frame)
-        for a, b in T.batches(raw):
+        for a, b in T.batches(raw, T.CACHED):
             part = frame.iloc[a:b]
             runs = Runs(raw[a:b])
             at, covered = open_runs(runs, part)
