@@ -536,3 +536,13 @@ def test_equal_first_identifiers_are_told_apart_by_the_second():
     g = pd.DataFrame({"h1": [4, 4, 4, 4], "h2": [1, 2, 1, 2], "doc_id": [9, 7, 8, 7], "span": 0, "cnt": 1, "need": 0})
     (out,) = substring_exact.answers("strings")(iter([g]))
     assert out["doc_id"].tolist() == [9]
+
+
+def test_chains_of_one_line_are_those_of_the_tree(monkeypatch):
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        x = np.sort(rng.choice(600, rng.integers(1, 40), replace=False))
+        line = chain_dedup.chains(x, x + 7)
+        # one match off the line, too far away to be in a chain of it, makes the tree look at all of them
+        tree = chain_dedup.chains(np.append(x, 5000), np.append(x + 7, 9000))
+        assert [c.tolist() for c in line] == [c.tolist() for c in tree if c.tolist() != [len(x)]]

@@ -34,6 +34,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -71,7 +72,7 @@ def seeds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The sampled k-mers of each text, with the hash of the ``MIN_WORDS`` words from there on (0: text ends before)."""
     for frame in frames:
         raw, ids = T.encode(frame["text"]), frame["doc_id"].to_numpy()
-        for a, b in T.batches(raw):
+        for a, b in T.batches(raw, T.CACHED):
             words = T.Words(raw[a:b])
             at, h = words.grams(K)
             # k-mers of one text are a row of words: k-mer i + d of the same text is d words on
@@ -93,15 +94,15 @@ def seeds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                 "pos": (at[pick] - words.first[text]).astype(np.int32), "lead": lead})
 
 
-def whole(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The rows anew, cut only between different keys."""
+def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by document anew, cut only between documents."""
     held: list[pd.DataFrame] = []
     for frame in frames:
         if not len(frame):
             continue
-        tail = (frame[keys] == frame[keys].iloc[-1]).all(axis=1).to_numpy()
-        cut = 0 if tail.all() else len(frame) - int(tail[::-1].argmin())
-        if held and (held[-1][keys].iloc[-1] != frame[keys].iloc[0]).any():
+        doc = frame["doc_id"].to_numpy()
+        cut = int(np.searchsorted(doc, doc[-1]))
+        if held and held[-1]["doc_id"].iat[-1] != doc[0]:
             yield pd.concat(held)
             held = []
         if cut:
@@ -113,13 +114,16 @@ def whole(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFr
 
 
 def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs of seeds whose first holders lie apart, of rows sorted by (doc_id, copy, pos)."""
-    for g in whole(frames, ["doc_id", "copy"]):
-        g = g.drop_duplicates(["doc_id", "copy", "pos"])  # the same text twice
+    """Runs of seeds whose first holders lie apart, of rows sorted by document."""
+    for g in whole(frames):
         doc, copy, x = (g[c].to_numpy() for c in ("doc_id", "copy", "pos"))
-        src, y = g["src"].to_numpy(), g["src_pos"].to_numpy().astype(np.int64)
-        seed, run = (g[c].to_numpy().view(np.uint64) for c in ("seed", "run"))
-        n = len(g)
+        order = np.lexsort((x, copy, doc))
+        doc, copy, x = doc[order], copy[order], x[order]
+        fresh = np.concatenate([[True], (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1]) | (x[1:] != x[:-1])])
+        order, doc, copy, x = order[fresh], doc[fresh], copy[fresh], x[fresh]  # the same text twice
+        src, y = g["src"].to_numpy()[order], g["src_pos"].to_numpy()[order].astype(np.int64)
+        seed, run = (g[c].to_numpy()[order].view(np.uint64) for c in ("seed", "run"))
+        n = len(doc)
         turn = (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1])
         text = np.concatenate([[0], np.cumsum(turn)])
         place = text * (1 << 32) + x
@@ -134,11 +138,13 @@ def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             i = np.flatnonzero((begin < end) & (apart[end - 1] > apart))
             begin, end = begin[i], end[i]
             least, j = np.full(len(i), np.iinfo(np.uint64).max), begin.copy()
-            for step in range(hi - lo + 1):
-                at = np.minimum(begin + step, n - 1)
-                value = (seed[i] ^ seed[at]) * T.WORD_FACTORS[0]
-                better = (begin + step < end) & (value < least)
-                least[better], j[better] = value[better], at[better]
+            left, at = np.arange(len(i)), begin.copy()
+            while len(left):
+                value = (seed[i[left]] ^ seed[at]) * T.WORD_FACTORS[0]
+                better = value < least[left]
+                least[left[better]], j[left[better]] = value[better], at[better]
+                more = at + 1 < end[left]
+                left, at = left[more], at[more] + 1
             far = y[j] - y[i]
             keep = (src[i] != src[j]) | (far <= 0) | (far > MAX_GAP)
             i, j = i[keep], j[keep]
@@ -171,11 +177,20 @@ class Fenwick:
 
 def chains(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     """Disjoint collinear chains of matches sorted by (x, y), best first, cut at wide gaps."""
-    rank = np.unique(y, return_inverse=True)[1].tolist()
     xs, ys, n = x.tolist(), y.tolist(), len(x)
-    tree = Fenwick(max(rank) + 1)
     score, before = [0.0] * n, [-1] * n
     i = 0
+    if len(set(xs)) == n and len({v - u for u, v in zip(xs, ys, strict=True)}) == 1:
+        # in one line each match adds K to the greatest sum so far, so the best predecessor is the last one
+        top = -np.inf
+        while i < n:
+            cost = GAP_COST * (xs[i] + ys[i])
+            score[i], before[i] = (K + top - cost, i - 1) if top - cost > 0 else (float(K), -1)
+            top = score[i] + cost
+            i += 1
+    else:
+        rank = np.unique(y, return_inverse=True)[1].tolist()
+        tree = Fenwick(max(rank) + 1)
     while i < n:
         j = i
         while j < n and xs[j] == xs[i]:
@@ -194,15 +209,19 @@ def chains(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
             chain.append(m)
             m = before[m]
         if chain:
-            chain = np.array(chain[::-1])
-            wide = np.flatnonzero(np.maximum(np.diff(x[chain]), np.diff(y[chain])) > MAX_GAP) + 1
-            out += np.split(chain, wide)
+            part = [m := chain.pop()]
+            while chain:
+                k = chain.pop()
+                if xs[k] - xs[m] > MAX_GAP or ys[k] - ys[m] > MAX_GAP:
+                    out.append(np.array(part))
+                    part = []
+                part.append(m := k)
+            out.append(np.array(part))
     return out
 
 
-def thinned(g: pd.DataFrame) -> pd.DataFrame:
-    """Of the matches of a (doc_id, src) in one line, at most 2K words apart, one in K words and the last."""
-    doc, src, x, y = (g[c].to_numpy() for c in ("doc_id", "src", "pos", "src_pos"))
+def thinned(doc: np.ndarray, src: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which matches stay, sorted by (doc, src, x, y): of those of a (doc, src) in one line, at most 2K words apart, one in K words and the last."""
     diagonal = x.astype(np.int64) - y
     order = np.lexsort((x, diagonal, src, doc))
     d, s, e, p = doc[order], src[order], diagonal[order], x[order]
@@ -214,18 +233,19 @@ def thinned(g: pd.DataFrame) -> pd.DataFrame:
     first = p[np.flatnonzero(opens)][np.cumsum(opens) - 1]
     place = (p - first) // K
     keep = opens | np.concatenate([[True], place[1:] != place[:-1]]) | np.concatenate([opens[1:], [True]])
-    return g.iloc[np.sort(order[keep])]
+    kept = order[keep]
+    return kept[np.lexsort((y[kept], x[kept], src[kept], doc[kept]))]
 
 
 def chained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Chains of each (doc_id, src) whose matches lie in consecutive rows, sorted by place."""
-    for g in whole(frames, ["doc_id", "src"]):
-        g = thinned(g)
+    """Chains of each (doc_id, src), of matches sorted by document."""
+    for g in whole(frames):
+        columns = [g[c].to_numpy() for c in ("doc_id", "src", "pos", "src_pos")]
+        kept = thinned(*columns)
+        doc, src, x, y = (c[kept] for c in columns)
         rows = []
-        x, y = g["pos"].to_numpy(), g["src_pos"].to_numpy()
-        doc, src = g["doc_id"].to_numpy(), g["src"].to_numpy()
-        start = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (src[1:] != src[:-1])]))
-        for a, b in zip(start, [*start[1:], len(g)], strict=True):
+        start = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (src[1:] != src[:-1])])).tolist()
+        for a, b in zip(start, [*start[1:], len(doc)], strict=True):
             for c in chains(x[a:b], y[a:b]) if b - a > 1 else [np.zeros(1, np.int64)]:
                 rows.append((doc[a], src[a], x[a:b][c], y[a:b][c]))
         yield pd.DataFrame(rows, columns=["doc_id", "src", "xs", "ys"])
@@ -233,10 +253,18 @@ def chained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def cut_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The words lo to hi of a text for each of its ``parts``, one space between them."""
+    lower = bytes(T.LOWER)
     for frame in frames:
+        out, size = [], 0
         for doc, text, parts in zip(frame["doc_id"], frame["text"], frame["parts"], strict=True):
-            words = bytes(T.LOWER[np.frombuffer(text.encode(), np.uint8)]).split()
-            out = [(doc, p["lo"], p["hi"], b" ".join(words[p["lo"] : p["hi"]]).decode()) for p in parts]
+            words = text.encode().translate(lower).split()
+            for p in parts:
+                out.append((doc, p["lo"], p["hi"], b" ".join(words[p["lo"] : p["hi"]]).decode()))
+                size += len(out[-1][3])
+            if size > T.SLICE:
+                yield pd.DataFrame(out, columns=["doc_id", "lo", "hi", "words"])
+                out, size = [], 0
+        if out:
             yield pd.DataFrame(out, columns=["doc_id", "lo", "hi", "words"])
 
 
@@ -252,6 +280,11 @@ def reach(pairs: Iterable[tuple[str, str]]) -> int:
     return n
 
 
+def equal(p: list[str], q: list[str]) -> int:
+    """How many words are equal, place by place."""
+    return len(p) if p == q else sum(map(eq, p, q))
+
+
 def align(a: list[str], b: list[str], xs: list[int], ys: list[int]) -> tuple[int, int, int, int, int]:
     """Extent on both sides and number of equal words of the passage around chained seeds."""
     n = reach(zip(reversed(a[max(xs[0] - MARGIN, 0) : xs[0]]), reversed(b[max(ys[0] - MARGIN, 0) : ys[0]])))
@@ -259,15 +292,13 @@ def align(a: list[str], b: list[str], xs: list[int], ys: list[int]) -> tuple[int
     x1, y1 = xs[-1] + K, ys[-1] + K
     n = reach(zip(a[x1 : x1 + MARGIN], b[y1 : y1 + MARGIN]))
     x1, y1 = x1 + n, y1 + n
-    same, x, y = 0, x0, y0
-    for u, v in [*zip(xs, ys, strict=True), (x1, y1)]:
-        p, q = a[x:u], b[y:v]
-        if len(p) == len(q):
-            equal = sum(s == t for s, t in zip(p, q, strict=True))
-        else:
-            equal = sum(m.size for m in SequenceMatcher(None, p, q, False).get_matching_blocks())
-        same, x, y = same + equal, u, v
-    return x0, x1, y0, y1, same
+    same, x, y, s, t = 0, x0, y0, xs[0], ys[0]
+    for u, v in zip(xs, ys, strict=True):
+        if u - s != v - t:  # another line: the one before, then the words between both
+            same += equal(a[x:s], b[y:t]) + sum(m.size for m in SequenceMatcher(None, a[s:u], b[t:v], False).get_matching_blocks())
+            x, y = u, v
+        s, t = u, v
+    return x0, x1, y0, y1, same + equal(a[x:x1], b[y:y1])
 
 
 def passages(a: list[str], b: list[str], xs: list[int], ys: list[int]) -> list[tuple[tuple[int, ...], int]]:
@@ -281,7 +312,8 @@ def passages(a: list[str], b: list[str], xs: list[int], ys: list[int]) -> list[t
             if length >= MIN_WORDS and not any(x0 >= f[0] and x1 <= f[1] and y0 >= f[2] and y1 <= f[3] for f, _ in out):
                 out.append((found, len(xs)))
         elif len(xs) > 1:
-            cut = int(np.argmax(np.maximum(np.diff(xs), np.diff(ys)))) + 1
+            gaps = [max(xs[k] - xs[k - 1], ys[k] - ys[k - 1]) for k in range(1, len(xs))]
+            cut = gaps.index(max(gaps)) + 1
             left += [(xs[cut:], ys[cut:]), (xs[:cut], ys[:cut])]
     return out
 
@@ -292,7 +324,7 @@ def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for r in frame.itertuples(index=False):
             a, b = words(r.a_words), words(r.b_words)
-            xs, ys = [p - r.a_lo for p in r.xs], [p - r.b_lo for p in r.ys]
+            xs, ys = (r.xs - r.a_lo).tolist(), (r.ys - r.b_lo).tolist()
             if xs[-1] + K > len(a) or ys[-1] + K > len(b):  # the other text of a repeated doc_id
                 continue
             for (x0, x1, y0, y1, same), n in passages(a, b, xs, ys):
@@ -307,7 +339,7 @@ CHAINS = "doc_id long, src long, xs array<int>, ys array<int>"
 
 def leading(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Marks the chains that lie inside no other of their document, of rows sorted by document, start and falling end."""
-    for g in whole(frames, ["doc_id"]):
+    for g in whole(frames):
         doc, end = g["doc_id"].to_numpy(), np.array([xs[-1] for xs in g["xs"]], np.int64)
         first = np.concatenate([[True], doc[1:] != doc[:-1]])
         # The farthest end before each row, within its document: documents are set apart by a step.
@@ -354,9 +386,10 @@ def fuzzy_passages(docs: DataFrame) -> DataFrame:
     first = (found.where("lead").groupBy("seed").agg(F.min("doc_id").alias("src"), F.min_by("pos", "doc_id").alias("src_pos"),
                                                      F.max("doc_id").alias("m")).where("src < m").drop("m"))
     first = staging.put("first", first)  # the join can then split a hot seed
-    held = staging.put("held", found.drop("lead").join(first, "seed"))
+    held = staging.put("held", found.drop("lead").join(first.hint("shuffle_hash"), "seed"))
     staging.release()
-    asked = (held.repartition(n, "doc_id", "copy").sortWithinPartitions("doc_id", "copy", "pos")
+    # on one long column Spark sorts by radix; the order within a document is made in the task
+    asked = (held.repartition(n, "doc_id", "copy").sortWithinPartitions("doc_id")
              .mapInPandas(runs, "run long, doc_id long, pos int, span int"))
     asked = staging.put("runs", asked)
     whole_run = (asked.groupBy("run").agg(F.min(F.struct("doc_id", "pos", "span")).alias("f"), F.max("doc_id").alias("m"))
@@ -367,7 +400,7 @@ def fuzzy_passages(docs: DataFrame) -> DataFrame:
     matches = (held.where("doc_id > src").select("doc_id", "src", "pos", "src_pos")
                .union(ends.select("doc_id", "src", "pos", "src_pos"))
                .union(ends.select("doc_id", "src", F.expr("pos + span"), F.expr("src_pos + src_span"))))
-    made = (matches.repartition(n, "doc_id", "src").sortWithinPartitions("doc_id", "src", "pos", "src_pos")
+    made = (matches.repartition(n, "doc_id", "src").sortWithinPartitions("doc_id")
             .mapInPandas(chained, "doc_id long, src long, xs array<int>, ys array<int>"))
 
     made = staging.put("chains", made)
