@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import pandas as pd
 import pytest
 
 pytest.importorskip("touchline.llm")
@@ -97,3 +98,13 @@ def test_subtree_totals(spark, monkeypatch, shape, local):
     path = spark.createDataFrame(path, "conv_id long, depth long, node long, parent long")
     got = prefix_trie.subtree_totals(nodes, path, ["v"], Staging(spark, "totals"))
     assert {r.node: r.v for r in got.collect()} == dict(enumerate(total))
+
+
+def test_components_over_several_batches():
+    """Rows sorted by component, a component in three batches, among them an empty one."""
+    part, parent = [-1, 5, 5, 5, 5, 8], [-1, 0, 1, 2, 2, 9]
+    rows = pd.DataFrame({"node": range(6), "parent": parent, "part": part, "weight": [1, 4, 3, 1, 1, 1],
+                         "v": [1, 2, 4, 8, 16, 32], "add_v": [100, 0, 0, 0, 0, 0]})
+    batches = [rows.iloc[:2], rows.iloc[:0], rows.iloc[2:4], rows.iloc[4:]]
+    got = pd.concat(prefix_trie.settled(["v"], ["add_v"])(iter(batches)))
+    assert dict(zip(got["node"], got["v"], strict=True)) == {0: 101, 1: 30, 2: 28, 3: 8, 4: 16, 5: 32}

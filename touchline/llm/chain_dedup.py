@@ -94,15 +94,15 @@ def seeds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                 "pos": (at[pick] - words.first[text]).astype(np.int32), "lead": lead})
 
 
-def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by document anew, cut only between documents."""
+def whole(frames: Iterator[pd.DataFrame], key: str = "doc_id") -> Iterator[pd.DataFrame]:
+    """Rows sorted by a whole number anew, cut only between different numbers."""
     held: list[pd.DataFrame] = []
     for frame in frames:
         if not len(frame):
             continue
-        doc = frame["doc_id"].to_numpy()
-        cut = int(np.searchsorted(doc, doc[-1]))
-        if held and held[-1]["doc_id"].iat[-1] != doc[0]:
+        value = frame[key].to_numpy()
+        cut = int(np.searchsorted(value, value[-1]))
+        if held and held[-1][key].iat[-1] != value[0]:
             yield pd.concat(held)
             held = []
         if cut:

@@ -172,7 +172,7 @@ def centroid_totals(up: list[int], weight: list[int], values: list[tuple[int, ..
 def settled(own: list[str], added: list[str]):
     def settle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Totals of components in consecutive rows, each by depth."""
-        for g in whole(frames, ["part"]):
+        for g in whole(frames, "part"):
             node, parent, part = (g[c].tolist() for c in ("node", "parent", "part"))
             weight = g["weight"].tolist()
             values, adds = (list(zip(*[g[c].tolist() for c in cs], strict=True)) for cs in (own, added))
