@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -546,3 +547,49 @@ def test_chains_of_one_line_are_those_of_the_tree(monkeypatch):
         # one match off the line, too far away to be in a chain of it, makes the tree look at all of them
         tree = chain_dedup.chains(np.append(x, 5000), np.append(x + 7, 9000))
         assert [c.tolist() for c in line] == [c.tolist() for c in tree if c.tolist() != [len(x)]]
+
+
+def test_blocks_matched_are_those_of_difflib():
+    rng = random.Random(6)
+    for n in [0, 1, 3, 12, 40] * 40:
+        a, b = ([rng.choice("abcdefgh"[: rng.randint(1, 8)]) for _ in range(rng.randint(0, n))] for _ in range(2))
+        same = sum(m.size for m in SequenceMatcher(None, a, b, False).get_matching_blocks())
+        assert chain_dedup.matched(a, b) == same
+
+
+def test_a_chain_cut_in_parts_aligns_its_words_once(monkeypatch):
+    """A gap that no identity can make up for is not aligned, others only once for all parts of a chain."""
+    rng, asked, inner = random.Random(2), [], chain_dedup.matched
+    monkeypatch.setattr(chain_dedup, "matched", lambda a, b: asked.append((len(a), len(b))) or inner(a, b))
+    first, last = ([word(rng) for _ in range(60)] for _ in range(2))
+    a = first + [word(rng) for _ in range(90)] + last
+    b = first[:30] + [word(rng)] + first[30:] + [word(rng) for _ in range(15)] + last
+    xs, ys = [0, 16, 40, 150, 200], [0, 16, 41, 76, 126]
+    found = chain_dedup.passages(a, b, xs, ys)
+    assert sorted((f[:4], f[4]) for f, _ in found) == [((0, 60, 0, 61), 60), ((150, 210, 76, 136), 60)]
+    assert asked == [(24, 25)]
+
+
+def test_runs_of_equal_identifiers_are_those_of_every_string():
+    """Texts around the least length, empty ones among them, against one string after another."""
+    rng = random.Random(8)
+    for _ in range(60):
+        raw = [bytes(rng.choice(b"ab") for _ in range(rng.choice([0, 1, 25, 49, 50, 51, 75, 120]))) * rng.choice([1, 2]) for _ in range(6)]
+        runs, expected = substring_exact.Runs(raw), []
+        for i, t in enumerate(raw):
+            for k in range(len(t) - substring_exact.WIDTH + 1):
+                at = int(runs.offsets[i]) + k
+                low = runs.gram[at : at + substring_exact.WIDTH - substring_exact.GRAM + 1].min() & substring_exact.LOW48
+                if k and expected[-1][1] == at and expected[-1][3] == low:
+                    expected[-1][1] = at + 1
+                else:
+                    expected.append([at, at + 1, i, low])
+        assert [list(r) for r in zip(runs.start, runs.end, runs.text, runs.fp, strict=True)] == expected
+
+
+def test_posts_hold_what_their_step_asks_for_only():
+    frame = pd.DataFrame({"doc_id": [1, 2], "text": ["a few words that two documents share, fifty bytes long"] * 2})
+    (posts,) = substring_exact.posting(substring_exact.initial_posts, "buckets")(iter([frame]))
+    assert list(posts) == ["h1", "doc_id", "span", "cnt"]
+    told = pd.concat(substring_exact.answers("buckets")(iter([posts.sort_values("h1")])))
+    assert sorted(set(told["doc_id"])) == [1, 2]

@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from difflib import SequenceMatcher
 from functools import lru_cache
 from operator import eq
 
@@ -246,7 +245,10 @@ def chained(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         start = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (src[1:] != src[:-1])])).tolist()
         for a, b in zip(start, [*start[1:], len(doc)], strict=True):
-            for c in chains(x[a:b], y[a:b]) if b - a > 1 else [np.zeros(1, np.int64)]:
+            if b - a == 1:
+                rows.append((doc[a], src[a], x[a:b], y[a:b]))
+                continue
+            for c in chains(x[a:b], y[a:b]):
                 rows.append((doc[a], src[a], x[a:b][c], y[a:b][c]))
         yield pd.DataFrame(rows, columns=["doc_id", "src", "xs", "ys"])
 
@@ -285,28 +287,76 @@ def equal(p: list[str], q: list[str]) -> int:
     return len(p) if p == q else sum(map(eq, p, q))
 
 
-def align(a: list[str], b: list[str], xs: list[int], ys: list[int]) -> tuple[int, int, int, int, int]:
-    """Extent on both sides and number of equal words of the passage around chained seeds."""
-    n = reach(zip(reversed(a[max(xs[0] - MARGIN, 0) : xs[0]]), reversed(b[max(ys[0] - MARGIN, 0) : ys[0]])))
-    x0, y0 = xs[0] - n, ys[0] - n
+def matched(a: list[str], b: list[str]) -> int:
+    """Size of all blocks that ``difflib.SequenceMatcher`` matches: the longest first, then those on its two sides."""
+    place: dict[str, list[int]] = {}
+    for j, w in enumerate(b):
+        place.setdefault(w, []).append(j)
+    places = [place.get(w, ()) for w in a]
+    total, left = 0, [(0, len(a), 0, len(b))]
+    while left:
+        a0, a1, b0, b1 = left.pop()
+        size = x = y = 0
+        before: dict[int, int] = {}
+        for i in range(a0, a1):
+            here = {}
+            for j in places[i]:
+                if j >= b1:
+                    break
+                if j >= b0:
+                    here[j] = k = before.get(j - 1, 0) + 1
+                    if k > size:
+                        size, x, y = k, i + 1, j + 1
+            before = here
+        if size:
+            total += size
+            if a0 < x - size and b0 < y - size:
+                left.append((a0, x - size, b0, y - size))
+            if x < a1 and y < b1:
+                left.append((x, a1, y, b1))
+    return total
+
+
+def align(a: list[str], b: list[str], xs: list[int], ys: list[int], known: dict) -> tuple[int, int, int, int, int]:
+    """Extent on both sides and number of equal words of the passage around chained seeds.
+
+    The number is exact where it makes a passage; otherwise it may be any bound that makes none.
+    ``known`` keeps what the parts of one chain ask for again.
+    """
+    u, v = xs[0], ys[0]
+    if (n := known.get((u, v))) is None:
+        n = known[u, v] = reach(zip(reversed(a[max(u - MARGIN, 0) : u]), reversed(b[max(v - MARGIN, 0) : v])))
+    x0, y0 = u - n, v - n
     x1, y1 = xs[-1] + K, ys[-1] + K
-    n = reach(zip(a[x1 : x1 + MARGIN], b[y1 : y1 + MARGIN]))
+    if (n := known.get((x1, y1, 0))) is None:
+        n = known[x1, y1, 0] = reach(zip(a[x1 : x1 + MARGIN], b[y1 : y1 + MARGIN]))
     x1, y1 = x1 + n, y1 + n
-    same, x, y, s, t = 0, x0, y0, xs[0], ys[0]
+    same, x, y, s, t, gaps = 0, x0, y0, xs[0], ys[0], []
     for u, v in zip(xs, ys, strict=True):
         if u - s != v - t:  # another line: the one before, then the words between both
-            same += equal(a[x:s], b[y:t]) + sum(m.size for m in SequenceMatcher(None, a[s:u], b[t:v], False).get_matching_blocks())
+            same += equal(a[x:s], b[y:t])
+            gaps.append((s, u, t, v))
+            same += min(u - s, v - t)
             x, y = u, v
         s, t = u, v
-    return x0, x1, y0, y1, same + equal(a[x:x1], b[y:y1])
+    same += equal(a[x:x1], b[y:y1])
+    least = IDENTITY * max(x1 - x0, y1 - y0)
+    for gap in gaps:
+        if same < least:
+            break
+        s, u, t, v = gap
+        if (n := known.get(gap)) is None:
+            n = known[gap] = matched(a[s:u], b[t:v])
+        same += n - min(u - s, v - t)
+    return x0, x1, y0, y1, same
 
 
 def passages(a: list[str], b: list[str], xs: list[int], ys: list[int]) -> list[tuple[tuple[int, ...], int]]:
     """Passages of enough words and identity around a chain, each with its number of seeds."""
-    left, out = [(xs, ys)], []
+    left, out, known = [(xs, ys)], [], {}
     while left:
         xs, ys = left.pop()
-        x0, x1, y0, y1, same = found = align(a, b, xs, ys)
+        x0, x1, y0, y1, same = found = align(a, b, xs, ys, known)
         length = max(x1 - x0, y1 - y0)
         if same >= IDENTITY * length:
             if length >= MIN_WORDS and not any(x0 >= f[0] and x1 <= f[1] and y0 >= f[2] and y1 <= f[3] for f, _ in out):
@@ -322,13 +372,14 @@ def aligned(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     words = lru_cache(512)(lambda text: text.split(" "))  # the chains of a document share its parts
     for frame in frames:
         rows = []
-        for r in frame.itertuples(index=False):
-            a, b = words(r.a_words), words(r.b_words)
-            xs, ys = (r.xs - r.a_lo).tolist(), (r.ys - r.b_lo).tolist()
+        columns = [frame[c].tolist() for c in ("doc_id", "src", "xs", "ys", "a_lo", "b_lo", "a_words", "b_words")]
+        for doc, src, xs, ys, a_lo, b_lo, a_words, b_words in zip(*columns, strict=True):
+            a, b = words(a_words), words(b_words)
+            xs, ys = [x - a_lo for x in xs.tolist()], [y - b_lo for y in ys.tolist()]
             if xs[-1] + K > len(a) or ys[-1] + K > len(b):  # the other text of a repeated doc_id
                 continue
             for (x0, x1, y0, y1, same), n in passages(a, b, xs, ys):
-                rows.append((r.doc_id, r.src, x0 + r.a_lo, x1 + r.a_lo, y0 + r.b_lo, y1 + r.b_lo, n, same,
+                rows.append((doc, src, x0 + a_lo, x1 + a_lo, y0 + b_lo, y1 + b_lo, n, same,
                              round(same / max(x1 - x0, y1 - y0), 6), " ".join(a[x0:x1])))
         yield pd.DataFrame(rows, columns=["doc_id", "src_doc_id", "start_word", "end_word", "src_start_word",
                                           "src_end_word", "n_seeds", "n_equal", "identity", "passage"])

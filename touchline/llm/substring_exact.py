@@ -41,10 +41,11 @@ LOW48 = np.uint64((1 << 48) - 1)
 EVEN = np.uint64((1 << 64) - 2)
 #: Counts from here on are unknown in a packed post.
 MANY = (1 << 15) - 1
-#: A post: identifier, document, how far the greatest document of a joined post is from it, number
-#: of posts (0: answered already), and the number of posts of the initial bucket, where asked for.
-POST = "h1 long, h2 int, doc_id long, span long, cnt int, need int"
-COLUMNS = ["h1", "h2", "doc_id", "span", "cnt", "need"]
+#: A post: identifier (in ``h1`` alone, or in both), document, how far the greatest document of a joined
+#: post is from it, number of posts (0: answered already), and of the initial bucket, each where asked for.
+POST = {"buckets": "h1 long, doc_id long, span long, cnt int", "runs": "h1 long, h2 int, doc_id long, cnt int, need int",
+        "strings": "h1 long, h2 int, doc_id long, cnt int"}
+COLUMNS = {kind: [c.split()[0] for c in post.split(", ")] for kind, post in POST.items()}
 
 
 class Runs:
@@ -67,15 +68,18 @@ class Runs:
             low = np.minimum(low[:-step], low[step:])
             step *= 2
         low = np.minimum(low[: len(low) - (count - step)], low[count - step :])
-        cut = np.zeros(len(self.data) + 1, np.int32)
-        np.add.at(cut, np.maximum(self.offsets[:-1], self.offsets[1:] - WIDTH + 1), 1)
-        np.add.at(cut, self.offsets[1:], -1)
-        inside = np.cumsum(cut)[: len(low)] == 0
-        joined = inside[1:] & inside[:-1] & (low[1:] == low[:-1])
-        self.start = np.flatnonzero(inside & ~np.concatenate([[False], joined]))
-        self.end = np.flatnonzero(inside & ~np.concatenate([joined, [False]])) + 1
+        # A stretch of equal values ends where a text begins and where its last string has begun.
+        first = np.maximum(self.offsets[:-1], self.offsets[1:] - WIDTH + 1)
+        new = np.ones(len(low) + 1, bool)
+        np.not_equal(low[1:], low[:-1], out=new[1:-1])
+        for at in (self.offsets, first):
+            new[at[at < len(low)]] = True
+        bound = np.flatnonzero(new)
+        cut = np.searchsorted(bound[:-1], self.offsets)
+        text = np.repeat(np.arange(len(raw)), np.diff(cut))
+        keep = np.flatnonzero(bound[: len(text)] < first[text])
+        self.start, self.end, self.text = bound[keep], bound[keep + 1], text[keep]
         self.fp = low[self.start] & LOW48
-        self.text = np.searchsorted(self.offsets, self.start, "right") - 1
 
     def names(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Identifiers of whole runs."""
@@ -126,7 +130,7 @@ def live_counts(runs: Runs, posts: list) -> np.ndarray:
     return np.where(key[at] == asked, count[at], -1)
 
 
-def collapse(rows: list[tuple[np.ndarray, ...]], spread: bool) -> pd.DataFrame:
+def collapse(rows: list[tuple[np.ndarray, ...]], kind: str) -> pd.DataFrame:
     """One open row for each identifier of a chunk, and closed rows for its other documents.
 
     The open row holds the least and greatest document and the number of posts.  The other
@@ -141,19 +145,21 @@ def collapse(rows: list[tuple[np.ndarray, ...]], spread: bool) -> pd.DataFrame:
     order[tied] = part[np.lexsort((doc[part], h2[part], h1[tied]))]
     h2, doc, need = h2[order], doc[order], need[order]
     if not len(h1):
-        return pd.DataFrame({c: [] for c in COLUMNS})
+        return pd.DataFrame({c: [] for c in COLUMNS[kind]})
     new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
     start = np.flatnonzero(new)
     size = np.diff(np.concatenate([start, [len(h1)]]))
     other = ~new & np.concatenate([[False], doc[1:] != doc[:-1]])
     k = np.flatnonzero(other)
     zero = np.zeros(len(k), np.int64)
-    span = doc[start + size - 1] - doc[start] if spread else np.zeros(len(start), np.int64)
-    out = (np.concatenate([h1[start], h1[k]]).view(np.int64), np.concatenate([h2[start], h2[k]]),
-           np.concatenate([doc[start], doc[k]]), np.concatenate([span, zero]),
-           np.concatenate([size, zero]).astype(np.int32), np.concatenate([need[start], zero]).astype(np.int32))
-    order = np.argsort(out[2], kind="stable")  # equal neighbours shrink in the shuffle files
-    return pd.DataFrame({c: x[order] for c, x in zip(COLUMNS, out, strict=True)})
+    at = np.concatenate([start, k])
+    order = np.argsort(doc[at], kind="stable")  # equal neighbours shrink in the shuffle files
+    out = {"h1": h1[at].view(np.int64), "h2": h2[at], "doc_id": doc[at], "cnt": np.concatenate([size, zero]).astype(np.int32)}
+    if "span" in COLUMNS[kind]:
+        out["span"] = np.concatenate([doc[start + size - 1] - doc[start], zero])
+    if "need" in COLUMNS[kind]:
+        out["need"] = np.concatenate([need[start], zero]).astype(np.int32)
+    return pd.DataFrame({c: out[c][order] for c in COLUMNS[kind]})
 
 
 def packed(texts: pd.Series) -> pd.Series:
@@ -169,7 +175,7 @@ def texts_of(frame: pd.DataFrame) -> list[bytes]:
     return [open_.decompress(b) for b in frame["data"]]
 
 
-def posting(rows_of, spread: bool = False):
+def posting(rows_of, kind: str):
     """A mapInPandas function that posts ``rows_of(runs, ids, frame)`` in collapsed chunks."""
 
     def post(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,10 +186,10 @@ def posting(rows_of, spread: bool = False):
                 part = frame.iloc[a:b]
                 held.append(rows_of(Runs(raw[a:b]), part["doc_id"].to_numpy(), part))
                 if sum(len(h[0]) for h in held) > CHUNK:
-                    yield collapse(held, spread)
+                    yield collapse(held, kind)
                     held = []
         if held:
-            yield collapse(held, spread)
+            yield collapse(held, kind)
 
     return post
 
@@ -224,10 +230,11 @@ def answers(kind: str):
     """A mapInPandas function over posts sorted by ``h1``; one group may span batches."""
 
     def settle(g: pd.DataFrame) -> pd.DataFrame:
-        h1, h2 = g["h1"].to_numpy(), g["h2"].to_numpy()
+        h1 = g["h1"].to_numpy()
+        h2 = g["h2"].to_numpy() if "h2" in g else np.zeros(len(g), np.int8)
         if ((h1[1:] == h1[:-1]) & (h2[1:] != h2[:-1])).any():
-            g = g.iloc[np.lexsort((h2, h1))]
-            h1, h2 = g["h1"].to_numpy(), g["h2"].to_numpy()
+            order = np.lexsort((h2, h1))
+            g, h1, h2 = g.iloc[order], h1[order], h2[order]
         doc, cnt = g["doc_id"].to_numpy(), g["cnt"].to_numpy().astype(np.int64)
         start = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
         of = np.repeat(np.arange(len(start)), np.diff(np.concatenate([start, [len(h1)]])))
@@ -309,7 +316,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     long_enough = docs.where(f"doc_id is not null and octet_length(text) >= {WIDTH}")
-    posts = exchange(long_enough.mapInPandas(posting(initial_posts, True), POST), "buckets", n)
+    posts = exchange(long_enough.mapInPandas(posting(initial_posts, "buckets"), POST["buckets"]), "buckets", n)
     posts = staging.put("posts", posts.withColumnRenamed("buckets", "posts"))
     staging.release()
     data = docs.select("doc_id", F.pandas_udf(packed, "binary")("text").alias("data"))
@@ -317,11 +324,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     marked = staging.put_bucketed("marked", marked, "doc_id", n)
     staging.drop("posts")
     staging.release()
-    runs = exchange(marked.where("posts is not null").mapInPandas(posting(run_posts), POST), "runs", n)
+    runs = exchange(marked.where("posts is not null").mapInPandas(posting(run_posts, "runs"), POST["runs"]), "runs", n)
     runs = staging.put("runs", runs)
     staging.release()
     cut = marked.join(runs.hint("shuffle_hash"), "doc_id", "left")
-    strings = exchange(cut.where("posts is not null").mapInPandas(posting(string_posts), POST), "strings", n)
+    strings = exchange(cut.where("posts is not null").mapInPandas(posting(string_posts, "strings"), POST["strings"]), "strings", n)
     strings = staging.put("strings", strings)
     staging.release()
     return cut.join(strings.hint("shuffle_hash"), "doc_id", "left").mapInPandas(

@@ -15,7 +15,7 @@ import pandas as pd
 BASE = 0x9E3779B97F4A7C15
 SLICE = 1 << 20
 #: Slices whose 64-bit arrays stay in a core's cache.
-CACHED = 1 << 18
+CACHED = 1 << 17
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
@@ -40,11 +40,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread every bit of h over the word."""
-    h = h ^ (h >> np.uint64(32))
+    low = h >> np.uint64(32)
+    h = h ^ low
     h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(29)
+    h ^= np.right_shift(h, np.uint64(29), out=low)
     h *= np.uint64(0xA0761D6478BD642F)
-    h ^= h >> np.uint64(32)
+    h ^= np.right_shift(h, np.uint64(32), out=low)
     return h
 
 
@@ -71,11 +72,15 @@ class Prefix:
     def __init__(self, data: np.ndarray):
         self.up, self.down = powers(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(BYTE_CODE[data] * self.up[:-1], out=self.sums[1:])
+        code = BYTE_CODE[data]
+        code *= self.up[:-1]
+        np.cumsum(code, out=self.sums[1:])
 
     def windows(self, width: int) -> np.ndarray:
         """Unmixed hash of the ``width`` bytes at every position."""
-        return (self.sums[width:] - self.sums[:-width]) * self.down[: len(self.sums) - width]
+        h = self.sums[width:] - self.sums[:-width]
+        h *= self.down[: len(h)]
+        return h
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Mixed hash of bytes [start, end)."""
