@@ -593,3 +593,14 @@ def test_posts_hold_what_their_step_asks_for_only():
     assert list(posts) == ["h1", "doc_id", "span", "cnt"]
     told = pd.concat(substring_exact.answers("buckets")(iter([posts.sort_values("h1")])))
     assert sorted(set(told["doc_id"])) == [1, 2]
+
+
+def test_a_seed_leads_once_in_a_text():
+    """The passes over the texts bring what they use only, for texts of any length."""
+    line = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen "
+    frame = pd.DataFrame({"doc_id": [1, 2, 2, 3, 4], "text": [line * 3, line, line + "end", "", "short"]})
+    every = pd.concat(chain_dedup.seeds(iter([frame])))
+    assert list(every) == ["seed", "run", "doc_id", "copy", "pos"] and len(every)
+    lead = pd.concat(chain_dedup.leads(iter([frame, frame.iloc[3:]])))
+    expected = every.sort_values("pos").drop_duplicates(["seed", "doc_id", "copy"])[["seed", "doc_id", "pos"]]
+    assert sorted(map(tuple, lead.to_numpy().tolist())) == sorted(map(tuple, expected.to_numpy().tolist()))

@@ -69,28 +69,43 @@ def sampled(h: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 def seeds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The sampled k-mers of each text, with the hash of the ``MIN_WORDS`` words from there on (0: text ends before)."""
+    for raw, ids, words, at, h, of, pick in picked(frames):
+        # k-mers of one text are a row of words: k-mer i + d of the same text is d words on
+        text, end = of[pick], pick + MIN_WORDS - K
+        long = np.flatnonzero(end < len(at))
+        long = long[of[end[long]] == text[long]]
+        run = np.zeros(len(pick), np.uint64)
+        for k in range(0, MIN_WORDS - K + 1, K):
+            run[long] += h[pick[long] + k] * T.WORD_FACTORS[k]
+        run[long] = T.mix(run[long])
+        copy = np.array([zlib.crc32(x) for x in raw], np.uint32).view(np.int32)
+        yield pd.DataFrame({"seed": h[pick].view(np.int64), "run": run.view(np.int64), "doc_id": ids[text], "copy": copy[text],
+                            "pos": (at[pick] - words.first[text]).astype(np.int32)})
+
+
+def leads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The first place of every seed in each text."""
+    for _, ids, words, at, h, of, pick in picked(frames):
+        if not len(pick):
+            continue
+        key = h[pick] ^ T.mix(of[pick].astype(np.uint64) + np.uint64(1))
+        order = np.argsort(key)
+        key = key[order]
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        pick = pick[np.sort(np.minimum.reduceat(order, start))]
+        text = of[pick]
+        yield pd.DataFrame({"seed": h[pick].view(np.int64), "doc_id": ids[text], "pos": (at[pick] - words.first[text]).astype(np.int32)})
+
+
+def picked(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """Slices of texts: bytes, documents, words, k-mers with their first word, hash and text, and which of them are seeds."""
     for frame in frames:
         raw, ids = T.encode(frame["text"]), frame["doc_id"].to_numpy()
         for a, b in T.batches(raw, T.CACHED):
             words = T.Words(raw[a:b])
             at, h = words.grams(K)
-            # k-mers of one text are a row of words: k-mer i + d of the same text is d words on
             of = words.text[at]
-            pick = np.flatnonzero(sampled(h, of))
-            text, end = of[pick], pick + MIN_WORDS - K
-            long = np.flatnonzero(end < len(at))
-            long = long[of[end[long]] == text[long]]
-            run = np.zeros(len(pick), np.uint64)
-            for k in range(0, MIN_WORDS - K + 1, K):
-                run[long] += h[pick[long] + k] * T.WORD_FACTORS[k]
-            run[long] = T.mix(run[long])
-            seed = h[pick]
-            order = np.lexsort((seed, text))
-            lead = np.ones(len(pick), bool)
-            lead[order[1:]] = (seed[order[1:]] != seed[order[:-1]]) | (text[order[1:]] != text[order[:-1]])
-            copy = np.array([zlib.crc32(x) for x in raw[a:b]], np.uint32).view(np.int32)
-            yield pd.DataFrame({"seed": seed.view(np.int64), "run": run.view(np.int64), "doc_id": ids[a:b][text], "copy": copy[text],
-                                "pos": (at[pick] - words.first[text]).astype(np.int32), "lead": lead})
+            yield raw[a:b], ids[a:b], words, at, h, of, np.flatnonzero(sampled(h, of))
 
 
 def whole(frames: Iterator[pd.DataFrame], key: str = "doc_id") -> Iterator[pd.DataFrame]:
@@ -432,12 +447,13 @@ def fuzzy_passages(docs: DataFrame) -> DataFrame:
     staging = Staging(spark, "chains")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    found = docs.mapInPandas(seeds, "seed long, run long, doc_id long, copy int, pos int, lead boolean")
+    lead = docs.mapInPandas(leads, "seed long, doc_id long, pos int")
+    found = docs.mapInPandas(seeds, "seed long, run long, doc_id long, copy int, pos int")
     # plain numbers only, so that equal seeds of a task are joined by hash before they are sent
-    first = (found.where("lead").groupBy("seed").agg(F.min("doc_id").alias("src"), F.min_by("pos", "doc_id").alias("src_pos"),
-                                                     F.max("doc_id").alias("m")).where("src < m").drop("m"))
+    first = (lead.groupBy("seed").agg(F.min("doc_id").alias("src"), F.min_by("pos", "doc_id").alias("src_pos"),
+                                      F.max("doc_id").alias("m")).where("src < m").drop("m"))
     first = staging.put("first", first)  # the join can then split a hot seed
-    held = staging.put("held", found.drop("lead").join(first.hint("shuffle_hash"), "seed"))
+    held = staging.put("held", found.join(first.hint("shuffle_hash"), "seed"))
     staging.release()
     # on one long column Spark sorts by radix; the order within a document is made in the task
     asked = (held.repartition(n, "doc_id", "copy").sortWithinPartitions("doc_id")
