@@ -1,7 +1,9 @@
 """What queries leave on disk while they run."""
 
+import glob
+
 from touchline import session
-from touchline.quality import rule_set
+from touchline.quality import checks, rule_set
 
 
 class _Settings(dict):
@@ -49,3 +51,16 @@ def test_rules_store_only_cells_that_one_table_does_not_settle(spark, monkeypatc
                              ("unique", "child", 1), ("unique", "parent", 0)]
     # The child keeps its repeated id, its null, its unknown value and three keys; the parent its three keys.
     assert [df.count() for df in made] == [6, 3]
+
+
+def test_a_tally_stores_each_count_by_itself(spark, monkeypatch):
+    made = []
+
+    def stored(df, name):
+        made.append(session.stored(df, name))
+        return made[-1]
+
+    monkeypatch.setattr(checks, "stored", stored)
+    out = checks.tally({"a": spark.range(3), "b": spark.range(0)})
+    assert len(made) == 2 and sorted(map(tuple, out.collect())) == [("a", 3), ("b", 0)]
+    assert all(glob.glob(f.removeprefix("file://")) for df in made for f in df.inputFiles())
