@@ -16,14 +16,20 @@ class _Session:
         self.conf = _Settings(settings)
 
 
-FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+FREED, UNPACKED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.sources.fileCompressionFactor"
 
 
-def test_shuffles_go_with_their_query_unless_the_session_says_otherwise():
-    plain, kept = _Session(), _Session(**{FREED: "false"})
-    session.free_shuffles(plain)
-    session.free_shuffles(kept)
-    assert plain.conf[FREED] == "true" and kept.conf[FREED] == "false"
+def test_queries_are_bounded_unless_the_session_says_otherwise():
+    plain, own = _Session(), _Session(**{FREED: "false", UNPACKED: "1.0"})
+    session.bound_queries(plain)
+    session.bound_queries(own)
+    assert plain.conf == {FREED: "true", UNPACKED: "8.0"} and own.conf == {FREED: "false", UNPACKED: "1.0"}
+
+
+def test_a_well_compressed_file_is_not_broadcast(spark):
+    rows = session.stored(spark.range(1_500_000).selectExpr("id", "id % 5 as kind"), "narrow")
+    joined = spark.range(20_000_000).join(rows, "id")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
 
 
 def test_stored_files_are_compressed_with_zstd(spark):

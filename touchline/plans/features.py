@@ -32,6 +32,11 @@ def valuation_events(wh) -> DataFrame:
     )
 
 
+def _known_events(wh) -> DataFrame:
+    """The usable valuations, which targets, their history and scoring share."""
+    return wh.step("valuation_events", lambda: valuation_events(wh))
+
+
 def target_days(wh) -> DataFrame:
     """Latest target day per player and season; null value when it conflicts."""
     seasons = wh["int_player_season_performance"].where(
@@ -45,7 +50,7 @@ def target_days(wh) -> DataFrame:
 
 
 def training_targets(wh) -> DataFrame:
-    events = valuation_events(wh).select(
+    events = _known_events(wh).select(
         "player_id", F.col("valuation_date").alias("target_market_value_date"),
         F.col("market_value_in_eur").alias("target_market_value_eur"), "competition_id")
     return target_days(wh).join(
@@ -115,18 +120,24 @@ FEATURE_COLUMNS = [
 
 
 def ml_player_market_value_training(wh) -> DataFrame:
-    targets = training_targets(wh)
-    games = wh["stg_games"].select("game_id", "season")
-    past = (
-        wh["stg_appearances"].select(*_FORM_COLUMNS).join(games, "game_id")
-        .join(targets.select("player_id", "season", "target_market_value_date"), ["player_id", "season"])
-        .where(F.col("appearance_date") < F.col("target_market_value_date"))
-    )
-    form = past.groupBy("player_id", "season").agg(*_form_totals())
+    targets = wh.step("training_targets", lambda: training_targets(wh))
+
+    def totals() -> DataFrame:
+        games = wh["stg_games"].select("game_id", "season")
+        past = (
+            wh["stg_appearances"].select(*_FORM_COLUMNS).join(games, "game_id")
+            .join(targets.select("player_id", "season", "target_market_value_date"), ["player_id", "season"])
+            .where(F.col("appearance_date") < F.col("target_market_value_date"))
+        )
+        return past.groupBy("player_id", "season").agg(*_form_totals())
+
+    form = wh.step("training_form", totals)
     # Targets are few per player (one a season), so they are the probes
     # themselves; "backward" is strict, the target day is not seen.
-    events = valuation_events(wh)
-    history = timeline.day_states(events, "player_id", "valuation_date", ["market_value_in_eur"])
+    # A player's day has one event already.
+    history = _known_events(wh).select(
+        "player_id", F.col("valuation_date").alias(timeline.DAY),
+        F.struct(F.col("valuation_date").alias("on"), "market_value_in_eur").alias(timeline.EVENT))
     line = timeline.merge(targets, history, "player_id", "target_market_value_date", strict="backward")
     valued = F.col(timeline.EVENT)["market_value_in_eur"]
     rows = line.probes(
@@ -156,7 +167,7 @@ def ml_player_market_value_scoring(wh) -> DataFrame:
         .groupBy("player_id").agg(F.max("season").alias("season"), *_form_totals())
     )
     values = (
-        valuation_events(wh).where(F.col("valuation_date") <= today)
+        _known_events(wh).where(F.col("valuation_date") <= today)
         .groupBy("player_id").agg(
             F.count("*").alias("prior_valuation_count"),
             F.max("market_value_in_eur").alias("prior_highest_market_value_eur"),

@@ -41,7 +41,7 @@ def warehouse(spark: SparkSession, root: str, as_of: date = AS_OF) -> Warehouse:
         later = warehouse(spark, root) if as_of < AS_OF else None
         tables = later.raw if later else DriverTables(spark, root)
         if not later:
-            session.free_shuffles(spark)
+            session.bound_queries(spark)
             session.size_shuffles(spark, tables.most_rows())
         made[root, as_of] = Warehouse(spark, tables, as_of, shared=SHARED, later=later)
     return made[root, as_of]

@@ -24,6 +24,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Shuffle files go when their query ends, not when the driver happens to collect garbage.
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # Stored files are weighed by what their rows take in memory before one is broadcast.
+    "spark.sql.sources.fileCompressionFactor": "8.0",
     # Call-site capture on every column expression slows plan building.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -59,15 +61,19 @@ def size_shuffles(spark: SparkSession, rows: int) -> None:
 
 
 _FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# A row of a few columns takes many times the room of its compressed file.
+_UNPACKED, UNPACKED = "spark.sql.sources.fileCompressionFactor", "8.0"
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let shuffle files go when their query ends, so that a chain of stored tables holds one query's at a time.
+def bound_queries(spark: SparkSession) -> None:
+    """Bound what queries hold; what the session sets itself stays.
 
-    What the session sets itself stays.
+    Shuffle files go when their query ends, so that a chain of stored tables holds one query's at a time.
+    Files are weighed by what their rows take, so that none is broadcast for being well compressed.
     """
-    if spark.conf.get(_FREED, None) is None:
-        spark.conf.set(_FREED, "true")
+    for key, value in ((_FREED, "true"), (_UNPACKED, UNPACKED)):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
 
 
 _own_folders: dict[str, str] = {}
