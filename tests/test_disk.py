@@ -2,7 +2,10 @@
 
 import glob
 
+from pyspark.sql import functions as F
+
 from touchline import session
+from touchline.operators.rolling import trailing_rows
 from touchline.quality import checks, rule_set
 
 
@@ -70,3 +73,21 @@ def test_a_tally_stores_each_count_by_itself(spark, monkeypatch):
     out = checks.tally({"a": spark.range(3), "b": spark.range(0)})
     assert len(made) == 2 and sorted(map(tuple, out.collect())) == [("a", 3), ("b", 0)]
     assert all(glob.glob(f.removeprefix("file://")) for df in made for f in df.inputFiles())
+
+
+def test_trailing_rows_are_numbered_before_they_are_shuffled_again(spark):
+    rows = [(k, d, i) for i, (k, d) in enumerate([(1, 3), (1, 1), (None, 2), (1, None), (1, 2), (None, None), (2, 1), (1, 3), (None, 2)])]
+    df = spark.createDataFrame(rows, "k int, d int, i int")
+    kept = []
+
+    def between(numbered):
+        kept.append(session.stored(numbered, "numbered"))
+        return kept[-1]
+
+    out = trailing_rows(df, "k", "d", ["i"], 2, lambda w: {"s": F.sum("i").over(w)}, block_rows=2, between=between)
+    want = []
+    for key in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        want += [(*r, r[2] + (own[n - 1][2] if n else 0)) for n, r in enumerate(own)]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
+    assert kept[0].columns == ["k", "d", "i", "_seq"]
